@@ -79,8 +79,13 @@ class Settings:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for files a job has to write.
 
-    On a cluster this lies in the shared folder named by
-    ``spark.checkpoint.dir``; a local folder is used only where that is unset.
+    It lies in the shared folder that the session names in
+    ``spark.checkpoint.dir``. A local folder is taken only where that is unset
+    and the session is local.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tiltwatch-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="tiltwatch-")
     return f"{root.rstrip('/')}/tiltwatch/{purpose}-{uuid.uuid4().hex}"

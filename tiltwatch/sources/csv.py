@@ -39,7 +39,8 @@ def load_csv(
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV that ``load_csv`` reads back unchanged."""
-    df.write.options(**OPTIONS).mode("errorifexists").csv(path)
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    df.write.options(**OPTIONS, **spaces).mode("errorifexists").csv(path)
 
 
 def load_all(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+FILE_BYTES = 128 * 1024 * 1024
+
 
 def rebalanced(df: DataFrame) -> DataFrame:
     """Rows in partitions of even size, chosen by adaptive execution.
@@ -50,11 +53,33 @@ def has_stream_log(spark: SparkSession, folder: str) -> bool:
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata"))
 
 
+def _laid_out(
+    spark: SparkSession, rows: DataFrame, folder: str, cluster_by: Sequence[str], file_bytes: int
+) -> DataFrame:
+    if not cluster_by:
+        return rebalanced(rows)
+    files = max(1, -(-folder_bytes(spark, folder) // file_bytes))
+    return clustered(rows, cluster_by, files)
+
+
+def compact_files(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    cluster_by: Sequence[str] = (),
+    file_bytes: int = FILE_BYTES,
+) -> None:
+    """Write the Parquet rows of ``folder`` into few files under the new ``target``."""
+    rows = spark.read.parquet(folder)
+    laid_out = _laid_out(spark, rows, folder, cluster_by, file_bytes)
+    laid_out.write.mode("errorifexists").parquet(target)
+
+
 def compact_table(
     spark: SparkSession,
     table: str,
     cluster_by: Sequence[str] = (),
-    file_bytes: int = 128 * 1024 * 1024,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
     """Rewrite ``table`` into few files; returns the name the old copy now has.
 
@@ -65,25 +90,10 @@ def compact_table(
     folder = table_folder(spark, table)
     if has_stream_log(spark, folder):
         raise ValueError(f"{table} is the target of a stream and cannot be compacted")
-    rows = spark.table(table)
-    if cluster_by:
-        partitions = max(1, -(-folder_bytes(spark, folder) // file_bytes))
-        rows = clustered(rows, cluster_by, partitions)
-    else:
-        rows = rebalanced(rows)
-    stamp = f"{spark.sparkContext.applicationId}_{spark.sparkContext.startTime}".replace("-", "_")
-    taken = {t.name for t in spark.catalog.listTables(table.rpartition(".")[0] or None)}
-    turn = 0
-    while f"{_base(table)}_new_{stamp}_{turn}".lower() in taken or (
-        f"{_base(table)}_old_{stamp}_{turn}".lower() in taken
-    ):
-        turn += 1
-    fresh, previous = f"{table}_new_{stamp}_{turn}", f"{table}_old_{stamp}_{turn}"
-    rows.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
+    mark = uuid.uuid4().hex[:8]
+    fresh, previous = f"{table}_new_{mark}", f"{table}_old_{mark}"
+    laid_out = _laid_out(spark, spark.table(table), folder, cluster_by, file_bytes)
+    laid_out.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return previous
-
-
-def _base(table: str) -> str:
-    return table.rpartition(".")[2]

@@ -32,7 +32,8 @@ def _line_flags() -> dict[str, Column]:
 
 def _message_columns() -> list[Column]:
     time = (F.col("l_orderkey") * 7 + F.col("l_partkey") * 13 + F.col("l_linenumber")) % 3000 - 300
-    text = F.when(F.col("l_quantity") != 7, F.concat(F.lit("msg "), F.col("l_partkey")))
+    no_text = F.col("l_quantity") == 7
+    text = F.when(no_text, None).otherwise(F.concat(F.lit("msg "), F.col("l_partkey")))
     return [
         F.col("l_orderkey").alias("match_id"),
         F.col("l_linenumber").alias("slot"),
