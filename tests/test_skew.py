@@ -1,0 +1,126 @@
+"""Joins with one key holding a third of the rows, and exact copies of it."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tiltwatch.operators.fanout import pair_counts
+from tiltwatch.operators.skew import hot_keys, split_join
+from tiltwatch.plans import reports as R
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """30,000 player rows, a third of them in match 7, half of those one account."""
+    n = F.col("id")
+    hot = n % 3 == 0
+    players = spark.range(30_000).select(
+        F.when(hot, F.lit(7)).otherwise((n / 10).cast("bigint")).alias("match_id"),
+        F.when(hot & (n % 2 == 0), F.lit(0)).otherwise(n % 997).alias("account_id"),
+        F.when(hot & (n % 2 == 0), F.lit(1)).otherwise(n % 50).cast("int").alias("player_slot"),
+    )
+    chat = spark.range(20_000).select(
+        F.when(n % 4 == 0, F.lit(7)).otherwise((n / 8).cast("bigint")).alias("match_id"),
+        (n % 50).cast("int").alias("slot"),
+        (n % 3000).cast("int").alias("time"),
+        F.when(n % 11 == 0, F.lit(None)).otherwise(F.lit("x")).alias("comment_text"),
+        F.when(n % 5 == 0, F.array(F.lit("toxic")))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("predicted"),
+    )
+    matches = spark.range(3_000).select(
+        n.alias("match_id"), (n % 7).cast("int").alias("cluster")
+    )
+    regions = spark.createDataFrame(
+        [(i, "ns"[i % 2]) for i in range(7)], "cluster int, region string"
+    )
+    return chat, players, matches, regions
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0]
+
+
+def test_hot_keys(skewed):
+    _, players, *_ = skewed
+    assert rows(hot_keys(players, ["match_id"], 1_000)) == [(7,)]
+    assert rows(hot_keys(players, ["match_id", "player_slot"], 1_000)) == [(7, 1)]
+    assert rows(hot_keys(players, ["match_id"], 1_000_000)) == []
+
+
+def test_hot_key_list_is_bounded_and_definite(skewed):
+    _, players, *_ = skewed
+    assert rows(hot_keys(players, ["match_id"], 0, max_keys=3)) == rows(
+        hot_keys(players.repartition(5), ["match_id"], 0, max_keys=3)
+    )
+    assert len(rows(hot_keys(players, ["match_id"], 0, max_keys=3))) == 3
+
+
+@pytest.mark.parametrize("hot_rows,max_keys", [(0, 3), (5, 10_000), (1_000, 10_000), (10**9, 1)])
+def test_split_join_equals_join(skewed, hot_rows, max_keys):
+    _, players, matches, _ = skewed
+    hot = hot_keys(players, ["match_id"], hot_rows, max_keys)
+    joined = split_join(players, matches, ["match_id"], hot)
+    plain = players.join(matches, "match_id")
+    assert joined.columns == plain.columns
+    assert rows(joined) == rows(plain)
+
+
+def test_hot_branch_is_broadcast_and_vanishes_without_hot_keys(spark, skewed):
+    _, players, matches, _ = skewed
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        hot = hot_keys(players, ["match_id"], 1_000)
+        with_hot = final_plan(split_join(players, matches, ["match_id"], hot))
+        assert "BroadcastHashJoin [match_id" in with_hot and "SortMergeJoin" in with_hot
+        none = hot_keys(players, ["match_id"], 10**9)
+        without = final_plan(split_join(players, matches, ["match_id"], none))
+        assert "BroadcastHashJoin" not in without and "Union" not in without
+        assert "SortMergeJoin" in without
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1_000, 10**9])
+def test_region_reports_equal_plain_joins(skewed, hot_rows):
+    chat, players, matches, regions = skewed
+    counts = (F.count_distinct("account_id"), F.count("comment_text"))
+    fan_out = chat.join(players, "match_id").join(matches, "match_id").join(regions, "cluster")
+    plain = fan_out.groupBy("region").agg(*counts)
+    assert rows(R.region_activity(*skewed, hot_rows=hot_rows)) == rows(plain)
+    seats = (chat["match_id"] == players["match_id"]) & (chat["slot"] == players["player_slot"])
+    authored = (
+        chat.join(players, seats)
+        .drop(chat["match_id"])
+        .join(matches, "match_id")
+        .join(regions, "cluster")
+    )
+    plain = authored.groupBy("region").agg(*counts)
+    assert rows(R.region_activity_authored(*skewed, hot_rows=hot_rows)) == rows(plain)
+    toxic = authored.filter(F.array_contains("predicted", "toxic")).groupBy("region").agg(*counts)
+    assert rows(R.toxic_regions_authored(*skewed, hot_rows=hot_rows)) == rows(toxic)
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1_000, 10**9])
+def test_account_reports_equal_plain_joins(skewed, hot_rows):
+    chat, players, *_ = skewed
+    seats = (chat["match_id"] == players["match_id"]) & (chat["slot"] == players["player_slot"])
+    plain = chat.join(players, seats).groupBy("account_id").agg(F.count("comment_text"))
+    assert rows(R.messages_per_account(chat, players, hot_rows)) == rows(plain)
+
+
+def test_pair_counts_equal_the_plain_join(skewed):
+    chat, players, *_ = skewed
+    plain = chat.join(players, "match_id").groupBy("match_id").agg(F.count("*"))
+    assert rows(pair_counts(chat, players, "match_id")) == rows(plain)

@@ -17,8 +17,13 @@ def flag_is_set(flag: str | Column) -> Column:
 
 
 def label_set(flags: dict[str, Column]) -> Column:
-    """``array<string>`` of the labels whose condition is true, in dict order."""
-    return F.array_compact(F.array(*[F.when(cond, F.lit(label)) for label, cond in flags.items()]))
+    """``array<string>`` of the labels whose condition is true, in dict order.
+
+    Unset places hold an empty string that is then removed: unlike a filter with
+    a lambda, this stays inside generated code.
+    """
+    places = [F.when(cond, F.lit(label)).otherwise(F.lit("")) for label, cond in flags.items()]
+    return F.array_remove(F.array(*places), "")
 
 
 def has_label(column: str | Column, label: str) -> Column:

@@ -59,7 +59,8 @@ class LabelAssembler(
 class MultiLabelClassifier(Estimator):
     """Fits one L1 logistic regression per label on shared features.
 
-    The features are materialised once; the labels are then fitted side by side.
+    The features are materialised once, in partitions evened out by size since
+    every iteration passes over them; the labels are then fitted side by side.
     Every fit is a distributed gradient sum over a vector of fixed width.
     """
 
@@ -71,7 +72,7 @@ class MultiLabelClassifier(Estimator):
         label_col: str = "labels",
         features_col: str = "universal_embeddings",
         threshold: float = 0.7,
-        max_iter: int = 60,
+        max_iter: int = 30,
         penalty: float = 0.003,
         parallelism: int = 4,
     ):
@@ -85,9 +86,8 @@ class MultiLabelClassifier(Estimator):
         self.parallelism = parallelism
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        shared = dataset.select(self.features_col, self.label_col).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        needed = dataset.select(self.features_col, self.label_col)
+        shared = needed.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
 
         def fit_label(label: str):
             learner = LogisticRegression(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ def _on_tables(function, *args) -> Query:
     """A report on ``(chat, players, matches, cluster_regions)``."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        t = star.game_tables(spark, folder)
+        t = star.GameTables(spark, folder)
         return function(t.chat, t.players, t.matches, t.cluster_regions, *args)
 
     return query
@@ -37,7 +38,7 @@ def _on_tables(function, *args) -> Query:
 
 def _on_players(function) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        t = star.game_tables(spark, folder)
+        t = star.GameTables(spark, folder)
         return function(t.chat, t.players)
 
     return query
@@ -48,7 +49,7 @@ def _on_chat(function) -> Query:
 
 
 def _on_game(function) -> Query:
-    return lambda spark, folder: function(star.game_tables(spark, folder))
+    return lambda spark, folder: function(star.GameTables(spark, folder))
 
 
 def _on_training(function, *args) -> Query:
@@ -59,6 +60,15 @@ def _on_comments(function) -> Query:
     return lambda spark, folder: function(star.comments(spark, folder))
 
 
+def _on_judged(function) -> Query:
+    """A query on all documents and the flags of the labelled ones."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return function(star.read(spark, folder, "documents"), star.flags(spark, folder))
+
+    return query
+
+
 def _on_documents(function) -> Query:
     return lambda spark, folder: function(star.read(spark, folder, "documents"))
 
@@ -173,7 +183,7 @@ def _compacted(cluster_by: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         chat = star.chat_pred(spark, folder).select("match_id", "slot", "time", "predicted")
         loose, tight = work_folder(spark, "loose"), work_folder(spark, "tight")
-        chat.repartition(64).write.parquet(loose)
+        chat.write.parquet(loose)
         compact_files(spark, loose, tight, cluster_by)
         return R.match_share_per_label(spark.read.parquet(tight))
 
@@ -210,8 +220,6 @@ def classifier_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def sentence_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """A 512-wide unit vector per document, as an array."""
-    from pyspark.ml.functions import vector_to_array
-
     documents = star.read(spark, folder, "documents").select("doc_id", "text")
     encoded = sentence_encoder("text", 512, dense=True).transform(documents)
     return encoded.select("doc_id", vector_to_array("universal_embeddings").alias("embedding"))
@@ -244,10 +252,10 @@ def all_queries() -> dict[str, Query]:
         "unlabelled_first": unlabelled_first,
         "label_set_of_flags": _on_comments(D.label_set_of_flags),
         "train_validation_split": _on_documents(D.split_parts),
-        "prediction_vectors": _on_comments(D.prediction_vectors),
-        "multilabel_label_scores": _on_comments(D.comment_label_scores),
-        "multilabel_document_scores": _on_comments(D.comment_document_scores),
-        "multilabel_macro_f1": _on_comments(D.comment_macro_f1),
+        "prediction_vectors": _on_judged(D.prediction_vectors),
+        "multilabel_label_scores": _on_judged(D.comment_label_scores),
+        "multilabel_document_scores": _on_judged(D.comment_document_scores),
+        "multilabel_macro_f1": _on_judged(D.comment_macro_f1),
         # Text and classifier
         "document_tokens": _on_documents(D.tokens),
         "sentence_vectors": sentence_vectors,

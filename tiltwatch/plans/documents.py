@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiltwatch.functions.labels import label_set, label_vector, prepare_labels
-from tiltwatch.functions.split import hash_split
+from tiltwatch.functions.split import split_part
 from tiltwatch.models.text import document_stage, token_stage
 from tiltwatch.operators.metrics import document_scores, label_scores, macro_f1
 
@@ -40,10 +40,8 @@ def comment_labels(comments: DataFrame) -> DataFrame:
 
 def split_parts(documents: DataFrame) -> DataFrame:
     """Each document's part of the 80/20 split."""
-    train, validation = hash_split(documents.select("doc_id"), "doc_id", (0.8, 0.2))
-    return train.select("doc_id", F.lit("train").alias("part")).unionByName(
-        validation.select("doc_id", F.lit("validation").alias("part"))
-    )
+    part = split_part("doc_id", ("train", "validation"), (0.8, 0.2))
+    return documents.select("doc_id", part.alias("part"))
 
 
 def tokens(documents: DataFrame) -> DataFrame:
@@ -78,20 +76,29 @@ def word_model(text_col: str = "comment_text") -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=statement)])
 
 
-def word_predictions(comments: DataFrame) -> DataFrame:
-    """Labelled comments with the word model's label set and both vectors."""
-    scored = word_model().transform(comment_labels(comments))
-    return scored.select(
-        "doc_id",
-        "labels",
-        "label_true",
-        F.col("class.result").alias("predicted"),
-        label_vector("class.result", COMMENT_LABELS).alias("label_pred"),
+def word_predictions(documents: DataFrame, flags: DataFrame) -> DataFrame:
+    """True and predicted label sets and vectors of the labelled documents.
+
+    Documents are scored where they lie and only the short result is joined to
+    ``flags``, so no text is shuffled.
+    """
+    scored = word_model("text").transform(documents.select("doc_id", "text"))
+    predicted = scored.select("doc_id", F.col("class.result").alias("predicted"))
+    return (
+        comment_labels(flags)
+        .join(predicted, "doc_id")
+        .select(
+            "doc_id",
+            "labels",
+            "label_true",
+            "predicted",
+            label_vector("predicted", COMMENT_LABELS).alias("label_pred"),
+        )
     )
 
 
-def prediction_vectors(comments: DataFrame) -> DataFrame:
-    predictions = word_predictions(comments)
+def prediction_vectors(documents: DataFrame, flags: DataFrame) -> DataFrame:
+    predictions = word_predictions(documents, flags)
 
     def text(vector: str):
         return F.array_join(F.transform(vector, lambda x: x.cast("int").cast("string")), ",")
@@ -110,19 +117,19 @@ def _rounded(df: DataFrame) -> DataFrame:
     )
 
 
-def comment_label_scores(comments: DataFrame) -> DataFrame:
-    scores = label_scores(word_predictions(comments), "labels", "predicted", COMMENT_LABELS)
-    return _rounded(scores)
+def comment_label_scores(documents: DataFrame, flags: DataFrame) -> DataFrame:
+    predictions = word_predictions(documents, flags)
+    return _rounded(label_scores(predictions, "labels", "predicted", COMMENT_LABELS))
 
 
-def comment_document_scores(comments: DataFrame) -> DataFrame:
-    scores = document_scores(word_predictions(comments), "labels", "predicted", COMMENT_LABELS)
-    return _rounded(scores)
+def comment_document_scores(documents: DataFrame, flags: DataFrame) -> DataFrame:
+    predictions = word_predictions(documents, flags)
+    return _rounded(document_scores(predictions, "labels", "predicted", COMMENT_LABELS))
 
 
-def comment_macro_f1(comments: DataFrame) -> DataFrame:
-    scores = label_scores(word_predictions(comments), "labels", "predicted", COMMENT_LABELS)
-    return _rounded(macro_f1(scores))
+def comment_macro_f1(documents: DataFrame, flags: DataFrame) -> DataFrame:
+    predictions = word_predictions(documents, flags)
+    return _rounded(macro_f1(label_scores(predictions, "labels", "predicted", COMMENT_LABELS)))
 
 
 def label_set_of_flags(comments: DataFrame) -> DataFrame:

@@ -393,8 +393,8 @@ def all_sql() -> dict[str, str]:
         ),
         "count_distinct": _with(
             "players",
-            """SELECT count(DISTINCT account_id) AS accounts,
-            count(DISTINCT match_id) AS matches FROM players""",
+            """SELECT 'accounts' AS kind, count(DISTINCT account_id) AS n FROM players
+            UNION ALL SELECT 'matches', count(DISTINCT match_id) FROM players""",
         ),
         "seat_message_counts": _with(
             "chat players",

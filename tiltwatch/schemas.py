@@ -39,7 +39,7 @@ TYPES = {
     "cluster_regions": CLUSTER_REGIONS,
 }
 
-# Table name of each file.
+# The table name of each file.
 TABLES = {
     "train": "toxicity_training",
     "test": "toxicity_test",

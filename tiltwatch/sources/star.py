@@ -6,16 +6,24 @@ Each order stands for a match, each line for a chat message, each
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tiltwatch.functions.labels import label_set
 
+# Schemas already seen, by session and path; reading one again costs a job.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _line_flags() -> dict[str, Column]:
@@ -88,32 +96,36 @@ def cluster_regions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def comments(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents with the flags ``toxic`` and ``low_quality``."""
-    documents = read(spark, folder, "documents")
+def flags(spark: SparkSession, folder: str) -> DataFrame:
+    """The flags ``toxic`` and ``low_quality`` of the labelled documents."""
     labels = read(spark, folder, "labels")
-    return documents.join(labels, "doc_id").select(
-        "doc_id",
-        F.col("text").alias("comment_text"),
-        "toxic",
-        (1 - F.col("quality")).alias("low_quality"),
-    )
+    return labels.select("doc_id", "toxic", (1 - F.col("quality")).alias("low_quality"))
+
+
+def comments(spark: SparkSession, folder: str) -> DataFrame:
+    """Labelled documents: their text and flags."""
+    texts = read(spark, folder, "documents").select("doc_id", F.col("text").alias("comment_text"))
+    return texts.join(flags(spark, folder), "doc_id")
 
 
-@dataclass(frozen=True)
 class GameTables:
-    """The four tables that the reports read."""
+    """The four tables that the reports read, each set up when first used."""
 
-    chat: DataFrame
-    players: DataFrame
-    matches: DataFrame
-    cluster_regions: DataFrame
+    def __init__(self, spark: SparkSession, folder: str):
+        self._source = (spark, folder)
 
+    @cached_property
+    def chat(self) -> DataFrame:
+        return chat_pred(*self._source)
 
-def game_tables(spark: SparkSession, folder: str) -> GameTables:
-    return GameTables(
-        chat_pred(spark, folder),
-        players(spark, folder),
-        matches(spark, folder),
-        cluster_regions(spark, folder),
-    )
+    @cached_property
+    def players(self) -> DataFrame:
+        return players(*self._source)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return matches(*self._source)
+
+    @cached_property
+    def cluster_regions(self) -> DataFrame:
+        return cluster_regions(*self._source)

@@ -59,14 +59,21 @@ def score_stream(
     target: StreamTarget,
     model: Transformer,
     partitions: int | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Score what is new in ``source`` into ``target`` and stop when caught up.
 
+    A large backlog can be cut into batches of ``files_per_batch`` files; a
+    failure then repeats one batch only.
+
     Offsets live in the checkpoint and the file sink commits whole batches, so a
     restarted run neither loses nor repeats rows. Columns that an existing target
     lacks are added to it first.
     """
-    stream = spark.readStream.table(source) if isinstance(source, str) else source
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.table(source) if isinstance(source, str) else source
     scored = score(stream, model, partitions)
     if spark.catalog.tableExists(target.table):
         add_missing_columns(spark, target.table, scored)
