@@ -63,6 +63,8 @@ def split_join(
     keys = list(keys)
     hot = F.broadcast(hot)
     cold_rows = fact.join(hot, keys, "left_anti").join(per_key, keys)
-    hot_side = per_key.join(hot, keys, "left_semi")
+    # An inner join, as Catalyst would move a semi-join below the aggregate that
+    # made ``per_key`` and so compute it twice; the list has each key once.
+    hot_side = per_key.join(hot, keys)
     hot_rows = fact.join(hot, keys, "left_semi").join(F.broadcast(hot_side), keys)
     return cold_rows.unionByName(hot_rows)
