@@ -97,3 +97,20 @@ def test_no_python_worker_and_no_cross_join(spark, name):
     text = plan(all_queries()[name](spark, FOLDER))
     for operator in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoop"):
         assert operator not in text
+
+
+def test_preview_does_not_shuffle_text(spark):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for key in settings:
+            spark.conf.set(key, "-1")
+        text = plan(all_queries()["training_preview_toxic"](spark, FOLDER))
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    # Between the scan of the texts and the semi-join that picks them, nothing moves.
+    lines = text.splitlines()
+    scan = next(i for i, line in enumerate(lines) if re.search(r"ReadSchema: .*text:", line))
+    above = next(line for line in reversed(lines[:scan]) if "Join" in line or "Exchange" in line)
+    assert "BroadcastHashJoin" in above and "LeftSemi" in above
+    assert "TakeOrderedAndProject" in text

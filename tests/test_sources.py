@@ -45,6 +45,21 @@ def test_csv_columns_follow_the_header(spark, tmp_path):
     assert rows(df) == [(-5, "x", "hi, all", 7)]
 
 
+def test_single_line_csv_is_split(spark, tmp_path):
+    lines = "".join(f'{i},"{i % 7}"\n' for i in range(20_000))
+    (tmp_path / "match.csv").write_text("match_id,cluster\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
+        whole = load_csv(spark, str(tmp_path / "match.csv"), schemas.MATCH)
+        split = load_csv(spark, str(tmp_path / "match.csv"), schemas.MATCH, multi_line=False)
+        parts = split.select(F.spark_partition_id()).distinct().count()
+        assert whole.select(F.spark_partition_id()).distinct().count() == 1 < parts
+        assert rows(split) == rows(whole)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_bad_number_fails_the_job(spark, tmp_path):
     (tmp_path / "m.csv").write_text("match_id,cluster\n1,east\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):

@@ -109,7 +109,7 @@ def unlabelled_first(spark: SparkSession, folder: str) -> DataFrame:
 
 def _preview(rows: int, toxic: int | None = None) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return R.training_preview(star.comments(spark, folder), "doc_id", rows, toxic)
+        return D.first_comments(star.texts(spark, folder), star.flags(spark, folder), rows, toxic)
 
     return query
 
@@ -123,12 +123,12 @@ def toxic_in_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 def sql_table_scan(spark: SparkSession, folder: str) -> DataFrame:
     """A report written in SQL over named views."""
-    star.matches(spark, folder).createOrReplaceTempView("toxicity_match")
-    star.cluster_regions(spark, folder).createOrReplaceTempView("toxicity_cluster_regions")
+    star.matches(spark, folder).createOrReplaceTempView("tiltwatch_match")
+    star.cluster_regions(spark, folder).createOrReplaceTempView("tiltwatch_cluster_regions")
     return spark.sql(
         """
         SELECT region, count(*) AS n_matches
-        FROM Toxicity_match JOIN toxicity_cluster_regions USING (cluster)
+        FROM Tiltwatch_match JOIN tiltwatch_cluster_regions USING (cluster)
         GROUP BY region
         """
     )
@@ -157,7 +157,11 @@ def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """The documents read as a stream, scored into files, and read back."""
     schema = star.read(spark, folder, "documents").schema
     # A glob, so the table may be one file or a folder of files.
-    stream = spark.readStream.schema(schema).parquet(f"{folder}/{{documents}}.parquet")
+    stream = (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", 10_000)
+        .parquet(f"{folder}/{{documents}}.parquet")
+    )
     target = work_folder(spark, "stream")
     query = (
         _scored_documents(stream)

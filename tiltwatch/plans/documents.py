@@ -11,6 +11,7 @@ from tiltwatch.functions.labels import label_set, label_vector, prepare_labels
 from tiltwatch.functions.split import split_part
 from tiltwatch.models.text import document_stage, token_stage
 from tiltwatch.operators.metrics import document_scores, label_scores, macro_f1
+from tiltwatch.plans.reports import training_preview
 
 COMMENT_LABELS = ("toxic", "low_quality")
 
@@ -38,6 +39,22 @@ def comment_labels(comments: DataFrame) -> DataFrame:
     return prepare_labels(comments, COMMENT_LABELS)
 
 
+def first_comments(
+    texts: DataFrame, flags: DataFrame, rows: int, toxic: int | None = None
+) -> DataFrame:
+    """A preview of ``texts`` joined to ``flags``, without shuffling the texts.
+
+    The first keys are found on keys and flags alone; there are at most ``rows``
+    of them, so they can be sent to where the texts lie.
+    """
+    known = flags.join(texts.select("doc_id"), "doc_id")
+    keys = F.broadcast(training_preview(known, "doc_id", rows, toxic).select("doc_id").distinct())
+    found = texts.join(keys, "doc_id", "left_semi").join(
+        flags.join(keys, "doc_id", "left_semi"), "doc_id"
+    )
+    return training_preview(found, "doc_id", rows, toxic)
+
+
 def split_parts(documents: DataFrame) -> DataFrame:
     """Each document's part of the 80/20 split."""
     part = split_part("doc_id", ("train", "validation"), (0.8, 0.2))

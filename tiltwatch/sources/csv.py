@@ -16,16 +16,22 @@ OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def load_csv(
-    spark: SparkSession, path: str | list[str], types: StructType | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    types: StructType | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read CSV by its header, then cast the columns named in ``types``.
 
     No schema is inferred, so the data is read once; only the header line is
     looked at up front. A field that is not of its type fails the job rather
-    than becoming NULL. A multi-line file cannot be split, so one file is one
-    task: pass a folder of files to load in parallel, and save as Parquet once.
+    than becoming NULL.
+
+    A file whose quoted fields may hold line breaks cannot be split, so one file
+    is one task: pass a folder of files to load in parallel. Files known to have
+    no such field are split like any text with ``multi_line`` off.
     """
-    raw = spark.read.options(**OPTIONS).option("multiLine", "true").csv(path)
+    raw = spark.read.options(**OPTIONS, multiLine=str(multi_line).lower()).csv(path)
     kinds = {field.name.lower(): field.dataType for field in (types or [])}
     return raw.select(
         *[

@@ -102,10 +102,13 @@ def flags(spark: SparkSession, folder: str) -> DataFrame:
     return labels.select("doc_id", "toxic", (1 - F.col("quality")).alias("low_quality"))
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "documents").select("doc_id", F.col("text").alias("comment_text"))
+
+
 def comments(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents: their text and flags."""
-    texts = read(spark, folder, "documents").select("doc_id", F.col("text").alias("comment_text"))
-    return texts.join(flags(spark, folder), "doc_id")
+    return texts(spark, folder).join(flags(spark, folder), "doc_id")
 
 
 class GameTables:
