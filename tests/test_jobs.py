@@ -74,6 +74,10 @@ def test_whole_run(spark, settings, folder):
 
     published = jobs.publish(spark, settings)
     assert len(published) == 13
+    for table in published:
+        report = jobs.reports(spark, settings)[table.rpartition("gold_")[2]]
+        assert spark.table(table).columns == report.columns
+        assert sorted(map(str, rows(spark.table(table)))) == sorted(map(str, rows(report)))
     gold = {t.rpartition("gold_")[2]: rows(spark.table(t)) for t in published}
     assert dict(gold["messages_per_label"])["Toxic"] == 20
     assert gold["toxic_regions_top5"] == [("EAST", 10, 130), ("WEST", 10, 70)]

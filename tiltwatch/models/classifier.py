@@ -72,7 +72,7 @@ class MultiLabelClassifier(Estimator):
         label_col: str = "labels",
         features_col: str = "universal_embeddings",
         threshold: float = 0.7,
-        max_iter: int = 30,
+        max_iter: int = 20,
         penalty: float = 0.003,
         parallelism: int = 4,
     ):

@@ -26,6 +26,24 @@ def labelled_counts(
     return df.agg(rows.alias("counts")).select(F.inline("counts"))
 
 
+def grouped_counts(
+    df: DataFrame, groups: dict[str, dict[str, Column]], group: str, name: str, count: str
+) -> DataFrame:
+    """``labelled_counts`` for several groups of conditions, still in one scan."""
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(title).alias(group),
+                F.lit(label).alias(name),
+                F.count_if(condition).alias(count),
+            )
+            for title, conditions in groups.items()
+            for label, condition in conditions.items()
+        ]
+    )
+    return df.agg(rows.alias("counts")).select(F.inline("counts"))
+
+
 def labelled_distinct_counts(
     df: DataFrame,
     key: str,

@@ -244,6 +244,7 @@ def all_queries() -> dict[str, Query]:
         "match_share_per_label": _on_chat(R.match_share_per_label),
         "toxic_timeline": _on_chat(R.toxic_timeline),
         "toxic_timeline_disjoint": _on_chat(R.toxic_timeline_disjoint),
+        "message_counts": _on_chat(R.message_counts),
         "toxic_players_top10": _on_players(R.toxic_players),
         "training_preview": _preview(10),
         "training_preview_clean": _preview(1, 0),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS, Settings
 from tiltwatch.functions.labels import prepare_labels
@@ -109,17 +110,36 @@ def reports(spark: SparkSession, settings: Settings, scored: str = SCORED) -> di
     }
 
 
+# Reports taken from the common message counts, with their column names.
+_COUNTED = {
+    "toxic_vs_labelled": ("label_type", "message_count"),
+    "toxic_split": ("label_type", "message_count"),
+    "messages_per_label": ("label_type", "message_count"),
+    "toxic_timeline": ("timeline", "number_of_toxic_messages"),
+    "toxic_timeline_disjoint": ("timeline", "number_of_toxic_messages"),
+}
+
 # Reports with a row per account, saved in as many files as they need.
 _LARGE = ("messages_per_account",)
 
 
 def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> list[str]:
-    """Save every report as a gold table; returns the table names."""
+    """Save every report as a gold table; returns the table names.
+
+    The reports that only count messages come from one scan of the chat, whose
+    few rows are kept while their tables are written.
+    """
+    wanted = reports(spark, settings, scored)
+    counted = R.message_counts(spark.table(settings.table(scored))).persist()
+    for name, columns in _COUNTED.items():
+        rows = counted.filter(F.col("report") == name)
+        wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
     saved = []
-    for name, report in reports(spark, settings, scored).items():
+    for name, report in wanted.items():
         table = settings.table(f"gold_{name}")
         (save_table if name in _LARGE else save_gold)(report, table)
         saved.append(table)
+    counted.unpersist()
     return saved
 
 

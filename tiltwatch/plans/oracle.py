@@ -201,6 +201,18 @@ def all_sql() -> dict[str, str]:
         "match_share_per_label": _with("chat", _MATCH_SHARE),
         "toxic_timeline": _with("chat", _time_union(_OVERLAPPING)),
         "toxic_timeline_disjoint": _with("chat", _time_union(_DISJOINT)),
+        "message_counts": _with(
+            "chat",
+            f"""SELECT 'toxic_vs_labelled' AS report, 'Toxic' AS name, count(*) AS n
+                FROM chat WHERE {_TOXIC}
+            UNION SELECT 'toxic_vs_labelled', 'Non-Toxic', count(*)
+                FROM chat WHERE len(predicted) > 0
+            UNION SELECT 'toxic_split', CASE WHEN {_TOXIC} THEN 'Toxic' ELSE 'Non-Toxic' END,
+                count(*) FROM chat GROUP BY 2
+            UNION SELECT 'messages_per_label', * FROM ({_label_union("count(*) AS n")})
+            UNION SELECT 'toxic_timeline', * FROM ({_time_union(_OVERLAPPING)})
+            UNION SELECT 'toxic_timeline_disjoint', * FROM ({_time_union(_DISJOINT)})""",
+        ),
         "toxic_players_top10": _with(
             "chat players",
             f"""SELECT account_id, count(comment_text) AS n_messages {_AUTHORED}

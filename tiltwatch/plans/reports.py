@@ -12,13 +12,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS, TIMELINE, TIMELINE_DISJOINT, Span, display_name
 from tiltwatch.functions.labels import has_label
 from tiltwatch.functions.ranges import span_conditions
-from tiltwatch.operators.counts import labelled_counts, labelled_distinct_counts, top_k
+from tiltwatch.operators.counts import (
+    grouped_counts,
+    labelled_counts,
+    labelled_distinct_counts,
+    top_k,
+)
 from tiltwatch.operators.fanout import rows_per_key
 from tiltwatch.operators.skew import HOT_ROWS, hot_keys, split_join
 
@@ -182,31 +187,39 @@ def toxic_players(
     return top_k(totals, "n_messages", k, ["account_id"])
 
 
+def _labelled() -> dict[str, Column]:
+    return {
+        "Toxic": has_label("predicted", "toxic"),
+        "Non-Toxic": F.size("predicted") > 0,
+    }
+
+
+def _split() -> dict[str, Column]:
+    toxic = F.coalesce(has_label("predicted", "toxic"), F.lit(False))
+    return {"Toxic": toxic, "Non-Toxic": ~toxic}
+
+
+def _per_label(labels: Sequence[str] = LABELS) -> dict[str, Column]:
+    return {display_name(label): has_label("predicted", label) for label in labels}
+
+
 def toxic_vs_labelled(chat: DataFrame) -> DataFrame:
     """Messages labelled toxic against messages with any label.
 
     The second row carries the name ``Non-Toxic`` although it includes the
     toxic messages; ``toxic_split`` is the real complement.
     """
-    conditions = {
-        "Toxic": has_label("predicted", "toxic"),
-        "Non-Toxic": F.size("predicted") > 0,
-    }
-    return labelled_counts(chat, conditions, "label_type", "message_count")
+    return labelled_counts(chat, _labelled(), "label_type", "message_count")
 
 
 def toxic_split(chat: DataFrame) -> DataFrame:
     """Messages labelled toxic against all others."""
-    toxic = F.coalesce(has_label("predicted", "toxic"), F.lit(False))
-    return labelled_counts(
-        chat, {"Toxic": toxic, "Non-Toxic": ~toxic}, "label_type", "message_count"
-    )
+    return labelled_counts(chat, _split(), "label_type", "message_count")
 
 
 def messages_per_label(chat: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
     """Messages per label; a label without messages shows 0."""
-    conditions = {display_name(label): has_label("predicted", label) for label in labels}
-    return labelled_counts(chat, conditions, "label_type", "message_count")
+    return labelled_counts(chat, _per_label(labels), "label_type", "message_count")
 
 
 def label_count_histogram(chat: DataFrame) -> DataFrame:
@@ -222,9 +235,13 @@ def label_count_histogram(chat: DataFrame) -> DataFrame:
 
 def match_share_per_label(chat: DataFrame, labels: Sequence[str] = LABELS) -> DataFrame:
     """Matches with a message of each label, and their share of matches with chat."""
-    conditions = {display_name(label): has_label("predicted", label) for label in labels}
     return labelled_distinct_counts(
-        chat, "match_id", conditions, "label_type", "match_count", "percent_of_total_matches"
+        chat,
+        "match_id",
+        _per_label(labels),
+        "label_type",
+        "match_count",
+        "percent_of_total_matches",
     )
 
 
@@ -241,6 +258,23 @@ def toxic_timeline_disjoint(chat: DataFrame) -> DataFrame:
     return toxic_timeline(chat, TIMELINE_DISJOINT)
 
 
+def message_counts(chat: DataFrame) -> DataFrame:
+    """The five reports that only count messages, as ``report, name, n`` from one scan."""
+    written = has_label("predicted", "toxic") & F.col("comment_text").isNotNull()
+
+    def timeline(spans: Sequence[Span]) -> dict[str, Column]:
+        return {name: written & inside for name, inside in span_conditions("time", spans).items()}
+
+    groups = {
+        "toxic_vs_labelled": _labelled(),
+        "toxic_split": _split(),
+        "messages_per_label": _per_label(),
+        "toxic_timeline": timeline(TIMELINE),
+        "toxic_timeline_disjoint": timeline(TIMELINE_DISJOINT),
+    }
+    return grouped_counts(chat, groups, "report", "name", "n")
+
+
 def training_preview(training: DataFrame, key: str, rows: int, toxic: int | None = None) -> DataFrame:
     """The first ``rows`` training comments by ``key``, all or of one toxicity."""
     chosen = training
