@@ -110,7 +110,14 @@ def test_save_and_load_give_the_same(spark, model):
     assert predicted(score(texts, loaded)) == predicted(score(texts, model))
 
 
-def test_registry_and_run_log(spark, database, model):
+@pytest.fixture(scope="module")
+def small_model(training):
+    settings = {"dimensions": 1 << 8, "penalty": 0.001, "max_iter": 5}
+    return text_classifier(("toxic",), **settings).fit(training)
+
+
+def test_registry_and_run_log(spark, database, small_model):
+    model = small_model
     runs, models = f"{database}.model_runs", f"{database}.model_registry"
     assert registered_models(spark, models).count() == 0
     with Run(spark, runs, "toxicity") as run:
