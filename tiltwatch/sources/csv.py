@@ -25,7 +25,7 @@ def load_csv(
 
     No schema is inferred, so the data is read once; only the header line is
     looked at up front. A field that is not of its type fails the job rather
-    than becoming NULL.
+    than becoming NULL, given ANSI mode, Spark's default.
 
     A file whose quoted fields may hold line breaks cannot be split, so one file
     is one task: pass a folder of files to load in parallel. Files known to have
