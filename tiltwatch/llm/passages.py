@@ -98,17 +98,24 @@ def units(text: str | None, bands: int, rows: int) -> list[tuple[int, int, int,
             unit = digest(b" ".join(words[at : at + PIECE]), SEED)
             found.append((unit, int(points[first[at]]), int(points[last[at + PIECE - 1]]), None))
     breaks = np.flatnonzero(codes == 10)
-    starts = np.unique(np.concatenate([[0], np.searchsorted(first, breaks), [len(words)]]))
+    edges = np.unique(np.concatenate([[0], np.searchsorted(first, breaks), [len(words)]]))
+    long = np.flatnonzero(np.diff(edges) >= PIECE)
+    if not len(long):
+        return found
+    begin, end = edges[long], edges[long + 1]
+    # Each line's own shingles: from its first word to the last that starts one within it.
+    cuts = np.stack([begin, end - SHINGLE + 1], axis=1).ravel()
     factors = np.arange(1, 2 * bands * rows, 2, dtype=np.uint64) * _BASE | np.uint64(1)
-    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if b - a < PIECE:
-            continue
+    padded = np.append(hashes, np.uint64(0))
+    least = np.stack([np.minimum.reduceat(padded * f, cuts)[::2] for f in factors])
+    least = least.reshape(bands, rows, len(long))
+    keys = least[:, 0, :]
+    for k in range(1, rows):
+        keys = keys * _BASE + least[:, k, :]
+    keys = _mix(keys + (np.arange(bands, dtype=np.uint64) * _BASE)[:, None]).view(np.int64).T.tolist()
+    for a, b, key in zip(begin.tolist(), end.tolist(), keys):
         line = raw[first[a] : last[b - 1]]
-        own = hashes[a : b - SHINGLE + 1]
-        least = np.array([_mix(own * f).min() for f in factors]).reshape(bands, rows)
-        key = _shingles(least.T, rows)[0] + np.arange(bands, dtype=np.uint64) * _BASE
-        found.append((digest(line, SEED), int(points[first[a]]), int(points[last[b - 1]]),
-                      _mix(key).view(np.int64).tolist()))
+        found.append((digest(line, SEED), int(points[first[a]]), int(points[last[b - 1]]), key))
     return found
 
 

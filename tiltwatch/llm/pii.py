@@ -43,9 +43,7 @@ _SPELLED_RUN = re.compile(
     rf"(?<![^\W\d_])(?:{_NUMBER})(?![^\W\d_])(?:[\x20,-]+(?:{_NUMBER})(?![^\W\d_]))*", re.I
 )
 _OPEN, _SHUT = r"\x20*[\[({<]\x20*", r"\x20*[\])}>]\x20*"
-_DOTTED = re.compile(
-    rf"(?:{_OPEN}(?:{_DOT_WORDS}|\.){_SHUT}|\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_|\.)", re.I
-)
+_DOTTED = re.compile(rf"(?:{_OPEN}(?:{_DOT_WORDS}|\.){_SHUT}|\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_)", re.I)
 _DOT = re.compile(
     rf"{_OPEN}(?:{_DOT_WORDS}|\.){_SHUT}"
     rf"|(?<=[A-Za-z0-9])(?:\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_)(?=[A-Za-z0-9])",
@@ -60,7 +58,9 @@ _AT = re.compile(
 )
 _PLUS = re.compile(rf"(?<![A-Za-z])(?:{_PLUS_WORDS})\x20+(?=[0-9])", re.I)
 _MIXED_DIGIT = re.compile(r"(?<=[0-9])[OolI]+(?=[0-9])")
-_SIGN_WORD = re.compile(rf"(?:{_DOT_WORDS}|{_AT_WORDS}|{_PLUS_WORDS})|[\[({{<]\x20*[.@]", re.I)
+# Without one of these a text holds no disguised at or dot sign.
+_HINTS = ("[", "(", "{", "<", "_", *(f" {w} " for w in _DOT_WORDS.split("|")))
+_MARKS = "-,.;:!?()[]{}<>\"'*|#%&$/"
 
 Span = tuple[str, int, int]
 #: Answers of _plain, at most one per code point.
@@ -169,8 +169,29 @@ def _characters(text: str) -> Rewrite | None:
     return Rewrite(text, [(m.start(), m.end(), odd[m.group()]) for m in where.finditer(text)])
 
 
+def _may_spell(text: str) -> bool:
+    """Whether the search for spelled digits can change the text; a quick look at its words."""
+    bare = text.lower()
+    for mark in _MARKS:
+        if mark in bare:
+            bare = bare.replace(mark, " ")
+    spelled = [w in _SPELLED for w in bare.split()]
+    if True not in spelled:
+        return False
+    if _DIGIT.search(text) or _hinted(text):
+        return True
+    return any(a and b and c for a, b, c in zip(spelled, spelled[1:], spelled[2:]))
+
+
+def _hinted(text: str) -> bool:
+    low = text.lower()
+    return any(hint in low for hint in _HINTS)
+
+
 def _spelled(text: str) -> Rewrite | None:
     """Runs of three digit words or more, or digit words that continue a number, made digits."""
+    if not _may_spell(text):
+        return None
     changes = []
     for m in _SPELLED_RUN.finditer(text):
         start, end = m.span()
@@ -188,12 +209,15 @@ def _spelled(text: str) -> Rewrite | None:
 
 def _signs(text: str) -> Rewrite | None:
     """Disguised at, dot and plus signs, and letters within numbers that stand for digits."""
-    changes = [(m.start(), m.end(), s) for s, p in (("@", _AT), (".", _DOT)) for m in p.finditer(text)]
-    changes += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
-    changes += [
-        (m.start(), m.end(), "".join("0" if c in "Oo" else "1" for c in m.group()))
-        for m in _MIXED_DIGIT.finditer(text)
-    ]
+    changes = []
+    if _hinted(text):
+        changes = [(m.start(), m.end(), s) for s, p in (("@", _AT), (".", _DOT)) for m in p.finditer(text)]
+    if _DIGIT.search(text):
+        changes += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
+        changes += [
+            (m.start(), m.end(), "".join("0" if c in "Oo" else "1" for c in m.group()))
+            for m in _MIXED_DIGIT.finditer(text)
+        ]
     return Rewrite(text, sorted(changes)) if changes else None
 
 
@@ -201,8 +225,6 @@ def disguised(text: str) -> list[Span]:
     """Identifiers that appear once the text is normalised, as spans of the source text."""
     steps, now = [], text
     for rewrite in (_characters, _spelled, _signs):
-        if rewrite is _signs and not (_SIGN_WORD.search(now) or _MIXED_DIGIT.search(now)):
-            continue
         if (step := rewrite(now)) is not None:
             steps.append(step)
             now = step.text
