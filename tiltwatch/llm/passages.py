@@ -22,6 +22,8 @@ PIECE = 20
 STRETCH = 31
 #: Paragraphs of a band meet in chunks of about this many.
 CHUNK = 256
+#: Hash slots that tell which lines may be needed again as text.
+SLOTS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -171,8 +173,13 @@ def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> Da
         "band-members",
     )
     wanted = keep(members.select("unit").distinct(), "lines-wanted")
+    # At most SLOTS rows, so safe to broadcast; lines in no wanted slot never move.
+    slot = F.pmod("unit", F.lit(SLOTS)).cast("int").alias("slot")
+    slots = F.broadcast(wanted.select(slot).distinct())
     texts = keep(
-        text_of.join(wanted, "unit", "left_semi").groupBy("unit").agg(F.min("line").alias("line")), "lines"
+        text_of.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
+        .join(wanted, "unit", "left_semi").groupBy("unit").agg(F.min("line").alias("line")),
+        "lines",
     )
     packs = keep(
         members.join(texts, "unit").groupBy("band", "chunk").agg(
@@ -252,11 +259,10 @@ def shared_passages(
         ),
         "units",
     )
-    first = F.min(F.struct("doc_id", "start", "doc")).alias("first")
-    seen = [F.min("doc").alias("low"), F.max("doc").alias("high"), first]
+    seen = [F.min("doc").alias("low"), F.max("doc").alias("high")]
     pieces = (
         found.filter("bands IS NULL").groupBy("unit").agg(*seen).filter("low != high")
-        .select("unit", F.lit(False).alias("line"), F.col("unit").alias("component_id"), "first")
+        .select("unit", F.lit(False).alias("line"), F.col("unit").alias("component_id"))
     )
     lines = keep(
         found.filter("bands IS NOT NULL").groupBy("unit").agg(*seen, F.first("bands").alias("bands")), "paragraphs"
@@ -271,18 +277,26 @@ def shared_passages(
         "component_id", F.coalesce("root", "unit")
     )
     clusters = rooted.groupBy("component_id").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("first").alias("first")
-    ).filter("low != high").drop("low", "high")
+        F.min("low").alias("low"), F.max("high").alias("high")
+    ).filter("low != high").select("component_id")
     lines_hit = rooted.select("unit", "component_id").join(clusters, "component_id").select(
-        "unit", F.lit(True).alias("line"), "component_id", "first"
+        "unit", F.lit(True).alias("line"), "component_id"
     )
     hit = keep(pieces.unionAll(lines_hit), "shared")
-    marked = found.withColumn("line", F.col("bands").isNotNull()).drop("bands")
+    spans = keep(
+        found.withColumn("line", F.col("bands").isNotNull()).drop("bands")
+        .join(hit, ["unit", "line"]).drop("unit"),
+        "occurrences",
+    )
+    firsts = keep(
+        spans.groupBy("component_id", "line").agg(F.min(F.struct("doc_id", "start", "end", "doc")).alias("first")),
+        "first-occurrences",
+    )
     kept = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("start") == F.col("first.start")) & (F.col("doc") == F.col("first.doc"))
     )
-    spans = marked.join(hit, ["unit", "line"]).select(
+    spans = spans.join(firsts, ["component_id", "line"]).select(
         "doc_id", "doc", "start", "end", "component_id", kept.alias("kept")
     )
     order = Window.partitionBy("doc_id", "doc", "kept").orderBy("start", "end")
