@@ -189,7 +189,7 @@ def sample(
     rows = rows.join(marks.filter(drawn), "doc_id").withColumn(
         "part", F.pmod(F.xxhash64(F.lit(f"part-{seed}"), "doc_id"), F.lit(4))
     )
-    return keep(rows.repartition(8, "doc_id").sortWithinPartitions("doc_id"), "toxicity-rows"), ones / total
+    return keep(rows.repartition(8).sortWithinPartitions("doc_id"), "toxicity-rows"), ones / total
 
 
 def learn_terms(rows: DataFrame, terms: int = 400, least: int = 8, odds: float = 3.0) -> dict[bytes, float]:
@@ -233,7 +233,7 @@ def fit(features: DataFrame, rows: DataFrame | None, rate: float, trees: int, de
         return ToxicityModel(None, None, rate)
     marked = keep(
         features.join(rows.select("doc_id", "label", "part"), "doc_id")
-        .repartition(4, "doc_id").sortWithinPartitions("doc_id"),
+        .repartition(4).sortWithinPartitions("doc_id"),
         "toxicity-features",
     )
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="__vector").transform(marked)
