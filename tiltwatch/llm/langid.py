@@ -56,10 +56,12 @@ def codewords(n: int) -> np.ndarray:
     Up to five classes get every two-way split of them; more get the best of
     a hundred seeded draws of about fifteen bits per doubling.
     """
+    if n < 2:
+        return np.ones((n, 1), dtype=np.int8)
     if n <= 5:
         splits = range(1, 1 << max(0, n - 1))
         bits = [[1 if not i or not (s >> (i - 1)) & 1 else -1 for s in splits] for i in range(n)]
-        return np.array(bits, dtype=np.int8).reshape(n, -1)
+        return np.array(bits, dtype=np.int8)
     draw, width = np.random.default_rng(7), 15 * int(np.ceil(np.log2(n)))
     best, apart = None, -1
     for _ in range(100):
@@ -148,8 +150,8 @@ def fit(
     by_order = counts.reshape(len(classes), len(ORDERS), BUCKETS) + 0.5
     shares = (by_order / by_order.sum(axis=2, keepdims=True)).reshape(len(classes), size)
     weights = np.zeros((size, code.shape[1]))
-    for b in range(code.shape[1]):
-        one, two = shares[code[:, b] > 0].mean(axis=0), shares[code[:, b] < 0].mean(axis=0)
+    for b in range(code.shape[1] if len(classes) > 1 else 0):
+        one, two = (shares[side].mean(axis=0) for side in (code[:, b] > 0, code[:, b] < 0))
         weights[:, b] = np.log(one / two)
     model = LanguageModel(classes, code, weights, np.ones(code.shape))
     if len(classes) > 1:

@@ -18,10 +18,10 @@ def _sharding() -> str:
     ), p AS (
         SELECT doc_id, bytes, depth, h >> (60 - depth) AS prefix FROM d, (SELECT unnest(range(61)) AS depth)
     ), s AS (
-        SELECT depth, prefix, sum(bytes)::BIGINT AS held FROM p GROUP BY depth, prefix
+        SELECT depth, prefix, sum(bytes)::BIGINT AS held, count(*) AS n FROM p GROUP BY depth, prefix
     ), f AS (
         SELECT p.doc_id, p.bytes, p.depth, p.prefix, s.held FROM p JOIN s USING (depth, prefix)
-        WHERE held <= {SHARD_BYTES} OR depth = 60
+        WHERE held <= {SHARD_BYTES} OR n = 1 OR depth = 60
         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
     )
     SELECT doc_id, CASE WHEN depth = 0 THEN 'root' ELSE lpad(bin(prefix), depth::INTEGER, '0') END AS shard,

@@ -24,12 +24,12 @@ def _prefix(hash_col: str, depth) -> Column:
 
 
 def directory(rows: DataFrame, max_bytes: int, hash_col: str = "h", bytes_col: str = "bytes") -> DataFrame:
-    """``(bits, prefix, shard_depth, shard_bytes)``: the directory of the shards.
+    """``(bits, prefix, shard_depth, shard_bytes, shard_rows)``: the directory of the shards.
 
     Rows whose first ``bits`` hash bits are ``prefix`` belong to the bucket
     named by the first ``shard_depth`` of them. A bucket is the shallowest
-    prefix whose rows fit ``max_bytes``; only buckets above that are split on
-    another bit. Bytes are counted per prefix with partial aggregates, a few
+    prefix whose rows fit ``max_bytes`` or that has one row; only buckets above
+    that are split on another bit. Bytes are counted per prefix with partial aggregates, a few
     bits past the depth an even split would need; where that does not do, only
     the rows still in oversized prefixes are counted again, deeper. A prefix
     of all bits is as deep as it goes and may be oversized.
@@ -39,21 +39,23 @@ def directory(rows: DataFrame, max_bytes: int, hash_col: str = "h", bytes_col: s
     done, open_rows = None, rows
     while True:
         cells = keep(
-            open_rows.groupBy(_prefix(hash_col, bits).alias("prefix")).agg(F.sum(bytes_col).alias("bytes")),
+            open_rows.groupBy(_prefix(hash_col, bits).alias("prefix")).agg(
+                F.sum(bytes_col).alias("bytes"), F.count(F.lit(1)).alias("n")
+            ),
             "cells",
         )
         # What each cell's bucket holds at every depth of this pass.
         depths = cells.withColumn("depth", F.explode(F.sequence(F.lit(low), F.lit(bits))))
         depths = depths.withColumn("bucket", F.expr(f"shiftright(prefix, {bits} - depth)"))
-        held = depths.groupBy("depth", "bucket").agg(F.sum("bytes").alias("held"))
-        fits = held.filter((F.col("held") <= max_bytes) | (F.col("depth") == BITS))
+        held = depths.groupBy("depth", "bucket").agg(F.sum("bytes").alias("held"), F.sum("n").alias("n"))
+        fits = held.filter((F.col("held") <= max_bytes) | (F.col("n") == 1) | (F.col("depth") == BITS))
         found = (
-            depths.join(fits, ["depth", "bucket"])
+            depths.select("prefix", "depth", "bucket").join(fits, ["depth", "bucket"])
             .groupBy("prefix")
-            .agg(F.min(F.struct("depth", "held")).alias("s"))
+            .agg(F.min(F.struct("depth", "held", "n")).alias("s"))
             .select(
-                F.lit(bits).alias("bits"), "prefix",
-                F.col("s.depth").alias("shard_depth"), F.col("s.held").alias("shard_bytes"),
+                F.lit(bits).alias("bits"), "prefix", F.col("s.depth").alias("shard_depth"),
+                F.col("s.held").alias("shard_bytes"), F.col("s.n").alias("shard_rows"),
             )
         )
         found = keep(found, "directory")
@@ -99,7 +101,7 @@ def shard(
     named = listed.select(
         "bits", F.col("prefix").alias("__shard_prefix"), name.alias("__shard_name"),
         F.col("shard_bytes").alias("__shard_held"),
-        ((F.col("shard_depth") == BITS) & (F.col("shard_bytes") > max_bytes)).alias("__shard_over"),
+        ((F.col("shard_rows") > 1) & (F.col("shard_bytes") > max_bytes)).alias("__shard_over"),
     )
     placed = None
     for bits in levels:
