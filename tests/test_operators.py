@@ -219,3 +219,22 @@ def test_scores_of_no_rows(spark):
     empty = spark.createDataFrame([], SETS)
     assert document_scores(empty, "t", "p").first()["documents"] == 0
     assert {r["tp"] for r in label_scores(empty, "t", "p").collect()} == {0}
+
+
+@pytest.mark.parametrize("values", [[0, 10**12], [1_700_000_000, 1_700_000_060], [5], []])
+def test_range_counts_on_any_extent(spark, values):
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "t long")
+    spans = [("all", None, None), ("wide", -(10**15), 10**15), ("low", None, 5), ("edge", 10**12, 10**13), ("none", 9, 3)]
+    ranges = spark.createDataFrame(spans, "name string, low long, high long")
+    want = {
+        n: sum((a is None or v >= a) and (b is None or v <= b) for v in values) for n, a, b in spans
+    }
+    assert dict(rows(range_counts(df, "t", ranges))) == want
+    assert dict(rows(range_counts(df, "t", ranges, bin_width=1, bins=3))) == want
+
+
+def test_hash_split_keeps_rows_without_key(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("", 3), (None, 4)], "k string, v int")
+    parts = hash_split(df, "k", (1, 1, 1))
+    assert sorted(r["v"] for p in parts for r in p.collect()) == [1, 2, 3, 4]
+    assert df.filter(split_part("k", ("x", "y")).isNull()).count() == 0

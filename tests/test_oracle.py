@@ -4,10 +4,13 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from tiltwatch.plans.catalog import all_queries
+from tiltwatch.plans.oracle import all_sql
 
 FOLDER = "/root/testdata/sf0.01"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+# The training-data queries have tests of their own.
+QUERIES = all_queries()
+SQL = all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +25,7 @@ def test_sql_covers_all_but_model_queries():
         "classifier_quality",
     }
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -47,23 +47,24 @@ def final_plan(df):
 
 def test_hot_keys(skewed):
     _, players, *_ = skewed
-    assert rows(hot_keys(players, ["match_id"], 1_000)) == [(7,)]
-    assert rows(hot_keys(players, ["match_id", "player_slot"], 1_000)) == [(7, 1)]
-    assert rows(hot_keys(players, ["match_id"], 1_000_000)) == []
+    assert rows(hot_keys(players, ["match_id"], 1 / 30)) == [(7,)]
+    assert rows(hot_keys(players, ["match_id", "player_slot"], 1 / 30)) == [(7, 1)]
+    assert rows(hot_keys(players, ["match_id"], 1.0)) == []
 
 
-def test_hot_key_list_is_bounded_and_definite(skewed):
+def test_hot_key_list_is_whole_and_definite(spark, skewed):
     _, players, *_ = skewed
-    assert rows(hot_keys(players, ["match_id"], 0, max_keys=3)) == rows(
-        hot_keys(players.repartition(5), ["match_id"], 0, max_keys=3)
-    )
-    assert len(rows(hot_keys(players, ["match_id"], 0, max_keys=3))) == 3
+    assert rows(hot_keys(players, ["match_id"])) == rows(hot_keys(players.repartition(5), ["match_id"]))
+    # More hot keys than any fixed list of 10,000 would hold.
+    many = spark.range(60_000).select((F.col("id") / 3).cast("bigint").alias("match_id"))
+    assert hot_keys(many, ["match_id"], 2 / 60_000).count() == 20_000
+    assert hot_keys(many.limit(0), ["match_id"]).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows,max_keys", [(0, 3), (5, 10_000), (1_000, 10_000), (10**9, 1)])
-def test_split_join_equals_join(skewed, hot_rows, max_keys):
+@pytest.mark.parametrize("hot_share", [0.0, 1 / 6_000, 1 / 10_000, 1 / 30, 1.0])
+def test_split_join_equals_join(skewed, hot_share):
     _, players, matches, _ = skewed
-    hot = hot_keys(players, ["match_id"], hot_rows, max_keys)
+    hot = hot_keys(players, ["match_id"], hot_share)
     joined = split_join(players, matches, ["match_id"], hot)
     plain = players.join(matches, "match_id")
     assert joined.columns == plain.columns
@@ -80,10 +81,10 @@ def test_hot_branch_is_broadcast_and_vanishes_without_hot_keys(spark, skewed):
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        hot = hot_keys(players, ["match_id"], 1_000)
+        hot = hot_keys(players, ["match_id"], 1 / 30)
         with_hot = final_plan(split_join(players, matches, ["match_id"], hot))
         assert "BroadcastHashJoin [match_id" in with_hot and "SortMergeJoin" in with_hot
-        none = hot_keys(players, ["match_id"], 10**9)
+        none = hot_keys(players, ["match_id"], 1.0)
         without = final_plan(split_join(players, matches, ["match_id"], none))
         assert "BroadcastHashJoin" not in without and "Union" not in without
         assert "SortMergeJoin" in without
@@ -92,13 +93,13 @@ def test_hot_branch_is_broadcast_and_vanishes_without_hot_keys(spark, skewed):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000, 10**9])
-def test_region_reports_equal_plain_joins(skewed, hot_rows):
+@pytest.mark.parametrize("hot_share", [1 / 10_000, 1 / 30, 1.0])
+def test_region_reports_equal_plain_joins(skewed, hot_share):
     chat, players, matches, regions = skewed
     counts = (F.count_distinct("account_id"), F.count("comment_text"))
     fan_out = chat.join(players, "match_id").join(matches, "match_id").join(regions, "cluster")
     plain = fan_out.groupBy("region").agg(*counts)
-    assert rows(R.region_activity(*skewed, hot_rows=hot_rows)) == rows(plain)
+    assert rows(R.region_activity(*skewed, hot_share=hot_share)) == rows(plain)
     seats = (chat["match_id"] == players["match_id"]) & (chat["slot"] == players["player_slot"])
     authored = (
         chat.join(players, seats)
@@ -107,17 +108,17 @@ def test_region_reports_equal_plain_joins(skewed, hot_rows):
         .join(regions, "cluster")
     )
     plain = authored.groupBy("region").agg(*counts)
-    assert rows(R.region_activity_authored(*skewed, hot_rows=hot_rows)) == rows(plain)
+    assert rows(R.region_activity_authored(*skewed, hot_share=hot_share)) == rows(plain)
     toxic = authored.filter(F.array_contains("predicted", "toxic")).groupBy("region").agg(*counts)
-    assert rows(R.toxic_regions_authored(*skewed, hot_rows=hot_rows)) == rows(toxic)
+    assert rows(R.toxic_regions_authored(*skewed, hot_share=hot_share)) == rows(toxic)
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000, 10**9])
-def test_account_reports_equal_plain_joins(skewed, hot_rows):
+@pytest.mark.parametrize("hot_share", [1 / 10_000, 1 / 30, 1.0])
+def test_account_reports_equal_plain_joins(skewed, hot_share):
     chat, players, *_ = skewed
     seats = (chat["match_id"] == players["match_id"]) & (chat["slot"] == players["player_slot"])
     plain = chat.join(players, seats).groupBy("account_id").agg(F.count("comment_text"))
-    assert rows(R.messages_per_account(chat, players, hot_rows)) == rows(plain)
+    assert rows(R.messages_per_account(chat, players, hot_share)) == rows(plain)
 
 
 def test_pair_counts_equal_the_plain_join(skewed):

@@ -174,3 +174,33 @@ def test_overwriting_a_table_from_itself_is_refused(spark, database):
     with pytest.raises(AnalysisException):
         tables.save_table(spark.table(table).filter("id > 0"), table)
     assert spark.table(table).count() == 3
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_csv_files_with_another_header_order_fail(spark, tmp_path, multi_line):
+    (tmp_path / "a.csv").write_text("id,x\n1,10\n")
+    (tmp_path / "b.csv").write_text("x,id\n20,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_csv(spark, str(tmp_path), multi_line=multi_line).collect()
+    (tmp_path / "b.csv").write_text("id,x\n2,20\n")
+    assert rows(load_csv(spark, str(tmp_path), multi_line=multi_line)) == [("1", "10"), ("2", "20")]
+
+
+def test_compaction_honours_the_file_size(spark, tmp_path):
+    spark.range(200_000).repartition(12).write.parquet(str(tmp_path / "in"))
+    size = layout.folder_bytes(spark, str(tmp_path / "in"))
+    for files in (1, 4):
+        out = str(tmp_path / f"out{files}")
+        layout.compact_files(spark, str(tmp_path / "in"), out, file_bytes=-(-size // files))
+        assert len(spark.read.parquet(out).inputFiles()) == files
+        assert spark.read.parquet(out).agg(F.sum("id")).first()[0] == sum(range(200_000))
+
+
+def test_a_lost_swap_is_recovered(spark, database):
+    table = f"{database}.swapped"
+    spark.range(5).write.mode("overwrite").saveAsTable(f"{table}_new_ab")
+    spark.range(4).write.mode("overwrite").saveAsTable(f"{table}_old_ab")
+    assert layout.recover_table(spark, table) and not layout.recover_table(spark, table)
+    assert spark.table(table).count() == 5
+    layout.drop_previous(spark, f"{table}_old_ab")
+    assert not spark.catalog.tableExists(f"{table}_old_ab")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -80,12 +79,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder for files a job has to write.
 
     It lies in the shared folder that the session names in
-    ``spark.checkpoint.dir``. A local folder is taken only where that is unset
-    and the session is local.
+    ``spark.checkpoint.dir``, else in the warehouse, which all executors share
+    as well. It is deleted when the driver ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tiltwatch-")
-    return f"{root.rstrip('/')}/tiltwatch/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/tiltwatch/{purpose}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder

@@ -11,8 +11,9 @@ _HASH_RANGE = 2**32
 
 
 def key_position(key: str, salt: str = "") -> Column:
-    """A key's place in [0, 2**32), from the first 32 bits of its md5."""
-    text = F.concat(F.lit(salt), F.col(key).cast("string")) if salt else F.col(key).cast("string")
+    """A key's place in [0, 2**32), from the first 32 bits of its md5; NULL is placed like ''."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    text = F.concat(F.lit(salt), text) if salt else text
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
@@ -39,7 +40,7 @@ def split_part(
 def hash_split(
     df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2), salt: str = ""
 ) -> list[DataFrame]:
-    """Disjoint parts of ``df`` in about the given shares.
+    """Disjoint parts of ``df`` in about the given shares, together all its rows.
 
     A row's part depends on its key alone, so unlike ``randomSplit`` the parts
     stay the same when partitioning, file layout or row order change, and a

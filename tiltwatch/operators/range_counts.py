@@ -10,29 +10,43 @@ def range_counts(
     values: DataFrame,
     value: str,
     ranges: DataFrame,
-    bin_width: int = 60,
+    bin_width: float = 60,
+    bins: int = 1000,
     count: str = "n",
 ) -> DataFrame:
     """Per row of ``ranges(name, low, high)``, how many values lie in ``[low, high]``.
 
     Ranges may overlap; a NULL end is open; a range without values keeps its row
     with 0. Values fold to one row per distinct value first. Both sides are then
-    cut into bins of ``bin_width`` so the join is an equi-join, which Catalyst
-    may broadcast or shuffle by size, and no pair outside a shared bin is formed.
+    cut into bins of ``bin_width``, or wider where the extent of the values would
+    take more than ``bins``, so the join is an equi-join, which Catalyst may
+    broadcast or shuffle by size, and no pair outside a shared bin is formed.
+    Results depend on neither.
     """
     folded = (
         values.filter(F.col(value).isNotNull())
         .groupBy(F.col(value).alias("value"))
         .agg(F.count("*").alias("value_rows"))
-        .withColumn("bin", F.floor(F.col("value") / bin_width))
     )
-    extent = folded.agg(F.min("bin").alias("first"), F.max("bin").alias("last"))
-    first, last = extent.select("first").scalar(), extent.select("last").scalar()
-    first_bin = F.greatest(F.floor(F.col("low") / bin_width), first)
-    last_bin = F.least(F.floor(F.col("high") / bin_width), last)
+    # One value for the whole extent. The sum is not used; with it this reads the
+    # same columns as the join below and shares its scan.
+    extent = folded.agg(
+        F.struct(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("value_rows")).alias("e")
+    ).scalar()
+    least, most = extent["low"].cast("double"), extent["high"].cast("double")
+    width = F.greatest((most - least) / bins, F.lit(float(bin_width)))
+
+    def bin_of(edge):
+        inside = F.least(F.greatest(edge.cast("double"), least), most)
+        return F.floor((inside - least) / width)
+
+    folded = folded.withColumn("bin", bin_of(F.col("value")))
     cut = (
-        ranges.withColumn("first_bin", first_bin)
-        .withColumn("last_bin", last_bin)
+        ranges.filter(least.isNotNull())
+        .filter(F.col("low").isNull() | (F.col("low") <= most))
+        .filter(F.col("high").isNull() | (F.col("high") >= least))
+        .withColumn("first_bin", F.when(F.col("low").isNull(), F.lit(0)).otherwise(bin_of(F.col("low"))))
+        .withColumn("last_bin", bin_of(F.coalesce(F.col("high").cast("double"), most)))
         .filter(F.col("first_bin") <= F.col("last_bin"))
         .withColumn("bin", F.explode(F.sequence("first_bin", "last_bin")))
         .select("name", "low", "high", "bin")

@@ -13,28 +13,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task may well hold.
-HOT_ROWS = 1_000_000
-# Largest list of hot keys ever broadcast. Of N rows, a key left out of a full
-# list has at most N / HOT_KEYS rows and is safe in the shuffle join.
-HOT_KEYS = 10_000
+# A key is hot above this share of all rows, so there are always fewer than
+# 10,000 hot keys and their list is safe to broadcast, without any cap.
+HOT_SHARE = 1 / 10_000
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
-) -> DataFrame:
-    """The at most ``max_keys`` keys with more than ``hot_rows`` rows in ``df``.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
+    """The keys that have more than ``hot_share`` of the rows of ``df``.
 
-    Composite keys are narrowed one column at a time: a pair can only be hot if
-    its first column is, so nearly unique key combinations are never shuffled.
-    The choice depends on the data alone, so evaluating it twice gives the same
-    list.
+    Fewer than ``1 / hot_share`` keys can, at any size; a key not listed has
+    at most that share and is safe in the shuffle join. Composite keys are
+    narrowed one column at a time: a pair can only be hot if its first column
+    is, so nearly unique key combinations are never shuffled. The choice
+    depends on the data alone, so evaluating it twice gives the same list.
     """
     found = None
     rows = df.select(*keys)
+    total = df.agg(F.count("*").alias("n")).select("n").scalar()
     for i in range(1, len(keys) + 1):
         part = list(keys[:i])
         if found is not None:
@@ -42,9 +37,7 @@ def hot_keys(
         found = (
             rows.groupBy(*part)
             .agg(F.count("*").alias("hot_key_rows"))
-            .filter(F.col("hot_key_rows") > hot_rows)
-            .orderBy(F.desc("hot_key_rows"), *part)
-            .limit(max_keys)
+            .filter(F.col("hot_key_rows") > total * hot_share)
             .select(*part)
         )
     return found
@@ -57,7 +50,7 @@ def split_join(
 
     Rows with a key in ``hot`` meet a broadcast of that key's ``per_key`` rows
     where they are, so however many they are, or how alike, they are not moved.
-    The broadcast holds at most ``HOT_KEYS`` keys. The rest is a shuffle join.
+    The broadcast is bounded as ``hot_keys`` is. The rest is a shuffle join.
     With no hot keys adaptive execution drops the hot branch before it scans.
     """
     keys = list(keys)

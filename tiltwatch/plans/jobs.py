@@ -41,10 +41,16 @@ def train(
     prepared = prepare_labels(comments, LABELS, drop_unlabelled)
     fitting, validation = hash_split(prepared, "id", (0.8, 0.2))
     with Run(spark, settings.table(RUNS), settings.model_name) as run:
-        for name, value in model_settings.items():
-            run.log_param(name, value)
+        pipeline = text_classifier(LABELS, **model_settings)
+        # What holds, given or by default.
+        stage_settings = {
+            p.name: v for s in pipeline.getStages() for p, v in getattr(s, "extractParamMap", dict)().items()
+        }
+        for name, value in (stage_settings | vars(pipeline.getStages()[-1]) | model_settings).items():
+            if isinstance(value, (bool, int, float, str)) and not name.startswith("_"):
+                run.log_param(name, value)
         run.log_param("labels", ",".join(LABELS))
-        model = text_classifier(LABELS, **model_settings).fit(fitting)
+        model = pipeline.fit(fitting)
         scored = score(validation, model)
         measures = document_scores(scored, "labels", "predicted").first().asDict()
         for name, value in measures.items():
@@ -119,9 +125,6 @@ _COUNTED = {
     "toxic_timeline_disjoint": ("timeline", "number_of_toxic_messages"),
 }
 
-# Reports with a row per account, saved in as many files as they need.
-_LARGE = ("messages_per_account",)
-
 
 def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> list[str]:
     """Save every report as a gold table; returns the table names.
@@ -131,16 +134,18 @@ def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> li
     """
     wanted = reports(spark, settings, scored)
     counted = R.message_counts(spark.table(settings.table(scored))).persist()
-    for name, columns in _COUNTED.items():
-        rows = counted.filter(F.col("report") == name)
-        wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
-    saved = []
-    for name, report in wanted.items():
-        table = settings.table(f"gold_{name}")
-        (save_table if name in _LARGE else save_gold)(report, table)
-        saved.append(table)
-    counted.unpersist()
-    return saved
+    try:
+        for name, columns in _COUNTED.items():
+            rows = counted.filter(F.col("report") == name)
+            wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
+        saved = []
+        for name, report in wanted.items():
+            table = settings.table(f"gold_{name}")
+            save_gold(report, table)
+            saved.append(table)
+        return saved
+    finally:
+        counted.unpersist()
 
 
 def raw_activity(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame]:
@@ -156,5 +161,5 @@ def raw_activity(spark: SparkSession, settings: Settings) -> tuple[DataFrame, Da
 
 
 def preview(spark: SparkSession, settings: Settings, scored: str = SCORED) -> DataFrame:
-    """A few scored messages."""
-    return R.predicted_preview(spark.table(settings.table(scored)))
+    """Some ten scored messages, whichever come first: no scan of the whole table."""
+    return spark.table(settings.table(scored)).limit(10)

@@ -25,7 +25,7 @@ from tiltwatch.operators.counts import (
     top_k,
 )
 from tiltwatch.operators.fanout import rows_per_key
-from tiltwatch.operators.skew import HOT_ROWS, hot_keys, split_join
+from tiltwatch.operators.skew import HOT_SHARE, hot_keys, split_join
 
 
 def _toxic(chat: DataFrame) -> DataFrame:
@@ -57,7 +57,7 @@ def _match_level(
     players: DataFrame,
     matches: DataFrame,
     cluster_regions: DataFrame,
-    hot_rows: int,
+    hot_share: float,
 ) -> DataFrame:
     """Every player of a match credited with every message of that match.
 
@@ -74,7 +74,7 @@ def _match_level(
         (F.col("chat_comment_text") * F.col("copies")).alias("messages"),
     )
     seats = players.select("match_id", "account_id")
-    hot = hot_keys(players, ["match_id"], hot_rows)
+    hot = hot_keys(players, ["match_id"], hot_share)
     return _region_totals(split_join(seats, per_match, ["match_id"], hot))
 
 
@@ -87,10 +87,10 @@ def _seat_counts(chat: DataFrame) -> DataFrame:
     )
 
 
-def authored_counts(chat: DataFrame, players: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def authored_counts(chat: DataFrame, players: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """Message counts per player row: ``match_id, account_id, message_rows, messages``."""
     keys = ["match_id", "player_slot"]
-    joined = split_join(players, _seat_counts(chat), keys, hot_keys(players, keys, hot_rows))
+    joined = split_join(players, _seat_counts(chat), keys, hot_keys(players, keys, hot_share))
     return joined.select("match_id", "account_id", "message_rows", "messages")
 
 
@@ -99,11 +99,11 @@ def _authored_level(
     players: DataFrame,
     matches: DataFrame,
     cluster_regions: DataFrame,
-    hot_rows: int,
+    hot_share: float,
 ) -> DataFrame:
     """Every message credited to the seat that wrote it."""
-    authored = authored_counts(chat, players, hot_rows)
-    hot = hot_keys(players, ["match_id"], hot_rows)
+    authored = authored_counts(chat, players, hot_share)
+    hot = hot_keys(players, ["match_id"], hot_share)
     located = split_join(authored, match_regions(matches, cluster_regions), ["match_id"], hot)
     weighted = located.select(
         "region",
@@ -123,10 +123,10 @@ def region_activity(
     players: DataFrame,
     matches: DataFrame,
     cluster_regions: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Players and messages per region, joined by match."""
-    return _busiest_first(_match_level(chat, players, matches, cluster_regions, hot_rows))
+    return _busiest_first(_match_level(chat, players, matches, cluster_regions, hot_share))
 
 
 def region_activity_authored(
@@ -134,10 +134,10 @@ def region_activity_authored(
     players: DataFrame,
     matches: DataFrame,
     cluster_regions: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Players who wrote, and their messages, per region."""
-    return _busiest_first(_authored_level(chat, players, matches, cluster_regions, hot_rows))
+    return _busiest_first(_authored_level(chat, players, matches, cluster_regions, hot_share))
 
 
 def toxic_regions(
@@ -146,10 +146,10 @@ def toxic_regions(
     matches: DataFrame,
     cluster_regions: DataFrame,
     k: int = 5,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """The ``k`` regions with most toxic messages, joined by match."""
-    totals = _match_level(_toxic(chat), players, matches, cluster_regions, hot_rows)
+    totals = _match_level(_toxic(chat), players, matches, cluster_regions, hot_share)
     return top_k(totals, "busy", k, ["region"]).drop("busy")
 
 
@@ -159,31 +159,31 @@ def toxic_regions_authored(
     matches: DataFrame,
     cluster_regions: DataFrame,
     k: int = 5,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """The ``k`` regions with most toxic messages, by the seat that wrote them."""
-    totals = _authored_level(_toxic(chat), players, matches, cluster_regions, hot_rows)
+    totals = _authored_level(_toxic(chat), players, matches, cluster_regions, hot_share)
     return top_k(totals, "busy", k, ["region"]).drop("busy")
 
 
-def _account_totals(chat: DataFrame, players: DataFrame, hot_rows: int) -> DataFrame:
-    authored = authored_counts(chat, players, hot_rows)
+def _account_totals(chat: DataFrame, players: DataFrame, hot_share: float) -> DataFrame:
+    authored = authored_counts(chat, players, hot_share)
     return authored.groupBy("account_id").agg(F.sum("messages").alias("n_messages"))
 
 
 def messages_per_account(
-    chat: DataFrame, players: DataFrame, hot_rows: int = HOT_ROWS
+    chat: DataFrame, players: DataFrame, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """Messages written per account, most first."""
-    totals = _account_totals(chat, players, hot_rows)
+    totals = _account_totals(chat, players, hot_share)
     return totals.orderBy(F.desc("n_messages"), "account_id")
 
 
 def toxic_players(
-    chat: DataFrame, players: DataFrame, k: int = 10, hot_rows: int = HOT_ROWS
+    chat: DataFrame, players: DataFrame, k: int = 10, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """The ``k`` accounts with most toxic messages."""
-    totals = _account_totals(_toxic(chat), players, hot_rows)
+    totals = _account_totals(_toxic(chat), players, hot_share)
     return top_k(totals, "n_messages", k, ["account_id"])
 
 

@@ -50,3 +50,6 @@ TABLES = {
     "chat": "toxicity_chat",
     "cluster_regions": "toxicity_cluster_regions",
 }
+
+# Files with free text, whose quoted fields may hold line breaks.
+MULTI_LINE = frozenset({"train", "test", "chat"})

@@ -11,25 +11,21 @@ from pyspark.sql import functions as F
 FILE_BYTES = 128 * 1024 * 1024
 
 
-def rebalanced(df: DataFrame) -> DataFrame:
-    """Rows in partitions of even size, chosen by adaptive execution.
-
-    Small partitions are merged and large ones split, both towards
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
-    """
-    return df.hint("rebalance")
-
-
 def clustered(df: DataFrame, columns: Sequence[str], partitions: int) -> DataFrame:
-    """Rows range-partitioned and sorted by ``columns``, so scans can skip row groups.
+    """Rows in even parts, range-partitioned and sorted by ``columns``, so scans can skip row groups.
+
+    Without columns the rows are dealt by their place in the files alone.
 
     ``df`` must be a plain file scan. The file position closes the sort key: it
     lets range bounds fall inside one hot value, so its rows spread over several
     partitions, and it never changes when a task is retried.
     """
-    positioned = df.withColumn("_row", F.col("_metadata.row_index"))
-    spread = positioned.repartitionByRange(partitions, *columns, "_row")
-    return spread.sortWithinPartitions(*columns).drop("_row")
+    positioned = df.withColumns(
+        {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    )
+    spread = positioned.repartitionByRange(partitions, *columns, "_row", "_file")
+    ordered = spread.sortWithinPartitions(*columns) if columns else spread
+    return ordered.drop("_row", "_file")
 
 
 def table_folder(spark: SparkSession, table: str) -> str:
@@ -56,8 +52,6 @@ def has_stream_log(spark: SparkSession, folder: str) -> bool:
 def _laid_out(
     spark: SparkSession, rows: DataFrame, folder: str, cluster_by: Sequence[str], file_bytes: int
 ) -> DataFrame:
-    if not cluster_by:
-        return rebalanced(rows)
     files = max(1, -(-folder_bytes(spark, folder) // file_bytes))
     return clustered(rows, cluster_by, files)
 
@@ -84,7 +78,9 @@ def compact_table(
     """Rewrite ``table`` into few files; returns the name the old copy now has.
 
     The new copy is complete before the names are swapped, so a lost executor or
-    a failed run leaves the table as it was. A table fed by a file stream is
+    a failed run leaves the table as it was; a driver lost between the two renames
+    is made good by :func:`recover_table`. The old copy stays until
+    :func:`drop_previous`. A table fed by a file stream is
     refused, since its stream log lists the old files.
     """
     folder = table_folder(spark, table)
@@ -95,5 +91,34 @@ def compact_table(
     laid_out = _laid_out(spark, spark.table(table), folder, cluster_by, file_bytes)
     laid_out.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {previous} RENAME TO {table}")
+        raise
     return previous
+
+
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Put the new copy in place where a driver was lost between the two renames.
+
+    Returns whether anything had to be done: ``table`` is missing and exactly
+    one compaction left both its copies.
+    """
+    if spark.catalog.tableExists(table):
+        return False
+    database, _, name = table.rpartition(".")
+    names = {t.name for t in spark.catalog.listTables(database or None)}
+    marks = [n.removeprefix(f"{name}_old_") for n in names if n.startswith(f"{name}_old_")]
+    marks = [m for m in marks if f"{name}_new_{m}" in names]
+    if len(marks) != 1:
+        return False
+    spark.sql(f"ALTER TABLE {table}_new_{marks[0]} RENAME TO {table}")
+    return True
+
+
+def drop_previous(spark: SparkSession, previous: str) -> None:
+    """Drop the old copy that :func:`compact_table` named."""
+    if "_old_" not in previous:
+        raise ValueError(f"{previous} is no old copy")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")

@@ -29,8 +29,12 @@ def save_table(df: DataFrame, table: str) -> None:
 
 
 def save_gold(report: DataFrame, table: str) -> None:
-    """Save a report. Reports end in few rows, so they go to one file."""
-    save_table(report.coalesce(1), table)
+    """Save a report in its order, in the partitions it ends in.
+
+    Adaptive execution merges small ones, so a report of few rows is one file;
+    a large one is written by many tasks.
+    """
+    save_table(report, table)
 
 
 def add_missing_columns(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
