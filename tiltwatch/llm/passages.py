@@ -22,7 +22,7 @@ PIECE = 20
 STRETCH = 31
 #: Paragraphs of a band meet in chunks of about this many.
 CHUNK = 256
-#: Hash slots that tell which lines may be needed again as text.
+#: Hash slots that tell which rows a join may need.
 SLOTS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -158,6 +158,17 @@ def verified(
     return edges
 
 
+def _thinned(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose hash ``key`` is not among ``wanted``, before a join on it.
+
+    The hash slots of the wanted keys are at most ``SLOTS`` rows, so safe to
+    broadcast; rows in no such slot never move.
+    """
+    slot = F.pmod(key, F.lit(SLOTS)).cast("int").alias("slot")
+    slots = F.broadcast(wanted.select(slot).distinct())
+    return rows.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
+
+
 def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)`` edges between distinct lines that share a band and are similar."""
     banded = lines.select("unit", F.explode("bands").alias("band"))
@@ -167,18 +178,15 @@ def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> Da
         "bands",
     )
     members = keep(
-        banded.join(full, "band").select(
+        _thinned(banded, "band", full).join(full, "band").select(
             "band", "unit", "chunks", F.pmod(F.xxhash64("unit"), "chunks").cast("int").alias("chunk")
         ),
         "band-members",
     )
     wanted = keep(members.select("unit").distinct(), "lines-wanted")
-    # At most SLOTS rows, so safe to broadcast; lines in no wanted slot never move.
-    slot = F.pmod("unit", F.lit(SLOTS)).cast("int").alias("slot")
-    slots = F.broadcast(wanted.select(slot).distinct())
     texts = keep(
-        text_of.withColumn("slot", slot).join(slots, "slot", "left_semi").drop("slot")
-        .join(wanted, "unit", "left_semi").groupBy("unit").agg(F.min("line").alias("line")),
+        _thinned(text_of, "unit", wanted).join(wanted, "unit", "left_semi")
+        .groupBy("unit").agg(F.min("line").alias("line")),
         "lines",
     )
     packs = keep(
