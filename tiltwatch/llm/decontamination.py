@@ -9,6 +9,8 @@ from tiltwatch.llm.common import keep
 
 SHINGLE = 5
 THRESHOLD = 0.8
+#: A shingle that many documents share is dealt over so many groups for the exact check.
+SALTS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -106,9 +108,13 @@ def contained_items(
     again = rows.join(
         hit, (F.col("text_hash") == F.col("c_hash")) & F.col("doc_id").eqNullSafe(F.col("c_id")), "left_semi"
     )
+    # Items, few beside the documents, are repeated per group; a merge join, as the
+    # repeated items are larger than the planner takes them for.
+    salted = items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
     matched = (
         windows(again)
-        .join(items, ["width", "h", "shingle"])
+        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["width", "h", "shingle", "salt"])
         .groupBy("doc_id", "text_hash", "item_key", "item_id", "n", "h", "shingle")
         .agg(F.lit(1))
         .groupBy("doc_id", "text_hash", "item_key", "item_id", "n")
