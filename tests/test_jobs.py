@@ -82,7 +82,7 @@ def test_whole_run(spark, settings, folder):
     published = jobs.publish(spark, settings)
     assert len(published) == 13
     wanted = jobs.reports(spark, settings)
-    for name in ("toxic_vs_labelled", "toxic_split", "toxic_timeline_disjoint"):
+    for name in wanted:
         table, report = settings.table(f"gold_{name}"), wanted[name]
         assert table in published and spark.table(table).columns == report.columns
         assert sorted(map(str, rows(spark.table(table)))) == sorted(map(str, rows(report)))

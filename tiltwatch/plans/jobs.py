@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,15 +130,28 @@ _COUNTED = {
 def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> list[str]:
     """Save every report as a gold table; returns the table names.
 
-    The reports that only count messages come from one scan of the chat, whose
-    few rows are kept while their tables are written.
+    The reports that only count messages come from one scan of the chat, the six
+    that join it to players from a second one, folded to one row per seat. Both
+    results and the list of hot keys are kept while the tables are written.
     """
     wanted = reports(spark, settings, scored)
-    counted = R.message_counts(spark.table(settings.table(scored))).persist()
+    chat = spark.table(settings.table(scored))
+    players = spark.table(settings.table(TABLES["players"]))
+    matches = spark.table(settings.table(TABLES["match"]))
+    regions = spark.table(settings.table(TABLES["cluster_regions"]))
+    kept = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return kept[-1]
+
     try:
+        counted = keep(R.message_counts(chat))
         for name, columns in _COUNTED.items():
             rows = counted.filter(F.col("report") == name)
             wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
+        hot = R.HotKeys(*map(keep, R.hot_players(players)))
+        wanted |= R.join_reports(keep(R.seat_fold(chat)), players, matches, regions, hot)
         saved = []
         for name, report in wanted.items():
             table = settings.table(f"gold_{name}")
@@ -145,7 +159,8 @@ def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> li
             saved.append(table)
         return saved
     finally:
-        counted.unpersist()
+        for df in kept:
+            df.unpersist()
 
 
 def raw_activity(spark: SparkSession, settings: Settings) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,7 @@ readings of a report that counts by match, overlaps labels or overlaps times.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,30 +53,55 @@ def _region_totals(counted: DataFrame) -> DataFrame:
     return totals.select("region", "n_players", "n_messages", "busy")
 
 
-def _match_level(
-    chat: DataFrame,
-    players: DataFrame,
-    matches: DataFrame,
-    cluster_regions: DataFrame,
-    hot_share: float,
-) -> DataFrame:
-    """Every player of a match credited with every message of that match.
+class HotKeys(NamedTuple):
+    """The hot matches and seats among the players, found once for any number of reports."""
+
+    matches: DataFrame
+    seats: DataFrame
+
 
-    Equals joining the four tables on the match, but messages fold to one row
-    per match first, so no (message, player) pair is formed.
+def hot_players(players: DataFrame, hot_share: float = HOT_SHARE) -> HotKeys:
+    return HotKeys(
+        hot_keys(players, ["match_id"], hot_share),
+        hot_keys(players, ["match_id", "player_slot"], hot_share),
+    )
+
+
+def seat_fold(chat: DataFrame) -> DataFrame:
+    """One row per match and seat with all that the six join reports need, from one scan.
+
+    Messages of no seat stay, as the reports by match count them.
     """
-    per_match = rows_per_key(chat, ["match_id"], "comment_text", "chat").join(
-        match_regions(matches, cluster_regions), "match_id"
+    toxic = has_label("predicted", "toxic")
+    return chat.groupBy("match_id", F.col("slot").alias("player_slot")).agg(
+        F.count("*").alias("message_rows"),
+        F.count("comment_text").alias("messages"),
+        F.count_if(toxic).alias("toxic_rows"),
+        F.count(F.when(toxic, F.col("comment_text"))).alias("toxic_messages"),
     )
-    per_match = per_match.select(
+
+
+def _toxic_seats(fold: DataFrame) -> DataFrame:
+    return fold.filter("toxic_rows > 0").select(
         "match_id",
-        "region",
-        (F.col("chat_rows") * F.col("copies")).alias("message_rows"),
-        (F.col("chat_comment_text") * F.col("copies")).alias("messages"),
+        "player_slot",
+        F.col("toxic_rows").alias("message_rows"),
+        F.col("toxic_messages").alias("messages"),
+    )
+
+
+def _matches_of(seats: DataFrame) -> DataFrame:
+    return seats.groupBy("match_id").agg(
+        F.sum("message_rows").alias("message_rows"), F.sum("messages").alias("messages")
+    )
+
+
+def _match_counts(chat: DataFrame) -> DataFrame:
+    return rows_per_key(chat, ["match_id"], "comment_text", "chat").select(
+        "match_id",
+        F.col("chat_rows").alias("message_rows"),
+        F.col("chat_comment_text").alias("messages"),
     )
-    seats = players.select("match_id", "account_id")
-    hot = hot_keys(players, ["match_id"], hot_share)
-    return _region_totals(split_join(seats, per_match, ["match_id"], hot))
 
 
 def _seat_counts(chat: DataFrame) -> DataFrame:
@@ -87,37 +113,65 @@ def _seat_counts(chat: DataFrame) -> DataFrame:
     )
 
 
+def _times_copies(counted: DataFrame, *keys: str) -> DataFrame:
+    return counted.select(
+        *keys,
+        (F.col("message_rows") * F.col("copies")).alias("message_rows"),
+        (F.col("messages") * F.col("copies")).alias("messages"),
+    )
+
+
+def _match_level(
+    counts: DataFrame,
+    players: DataFrame,
+    matches: DataFrame,
+    cluster_regions: DataFrame,
+    hot_matches: DataFrame,
+) -> DataFrame:
+    """Every player of a match credited with every message of that match.
+
+    Equals joining the four tables on the match, but messages come as one row
+    of ``counts`` per match, so no (message, player) pair is formed.
+    """
+    located = counts.join(match_regions(matches, cluster_regions), "match_id")
+    per_match = _times_copies(located, "match_id", "region")
+    seats = players.select("match_id", "account_id")
+    return _region_totals(split_join(seats, per_match, ["match_id"], hot_matches))
+
+
+def _authored(counts: DataFrame, players: DataFrame, hot_seats: DataFrame) -> DataFrame:
+    joined = split_join(players, counts, ["match_id", "player_slot"], hot_seats)
+    return joined.select("match_id", "account_id", "message_rows", "messages")
+
+
 def authored_counts(chat: DataFrame, players: DataFrame, hot_share: float = HOT_SHARE) -> DataFrame:
     """Message counts per player row: ``match_id, account_id, message_rows, messages``."""
-    keys = ["match_id", "player_slot"]
-    joined = split_join(players, _seat_counts(chat), keys, hot_keys(players, keys, hot_share))
-    return joined.select("match_id", "account_id", "message_rows", "messages")
+    hot = hot_keys(players, ["match_id", "player_slot"], hot_share)
+    return _authored(_seat_counts(chat), players, hot)
 
 
 def _authored_level(
-    chat: DataFrame,
+    counts: DataFrame,
     players: DataFrame,
     matches: DataFrame,
     cluster_regions: DataFrame,
-    hot_share: float,
+    hot: HotKeys,
 ) -> DataFrame:
-    """Every message credited to the seat that wrote it."""
-    authored = authored_counts(chat, players, hot_share)
-    hot = hot_keys(players, ["match_id"], hot_share)
-    located = split_join(authored, match_regions(matches, cluster_regions), ["match_id"], hot)
-    weighted = located.select(
-        "region",
-        "account_id",
-        (F.col("message_rows") * F.col("copies")).alias("message_rows"),
-        (F.col("messages") * F.col("copies")).alias("messages"),
-    )
-    return _region_totals(weighted)
+    """Every message credited to the seat that wrote it, ``counts`` being per seat."""
+    authored = _authored(counts, players, hot.seats)
+    regions = match_regions(matches, cluster_regions)
+    located = split_join(authored, regions, ["match_id"], hot.matches)
+    return _region_totals(_times_copies(located, "region", "account_id"))
 
 
 def _busiest_first(totals: DataFrame) -> DataFrame:
     return totals.orderBy(F.desc("busy"), "region").drop("busy")
 
 
+def _busiest(totals: DataFrame, k: int) -> DataFrame:
+    return top_k(totals, "busy", k, ["region"]).drop("busy")
+
+
 def region_activity(
     chat: DataFrame,
     players: DataFrame,
@@ -126,7 +180,8 @@ def region_activity(
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Players and messages per region, joined by match."""
-    return _busiest_first(_match_level(chat, players, matches, cluster_regions, hot_share))
+    hot = hot_keys(players, ["match_id"], hot_share)
+    return _busiest_first(_match_level(_match_counts(chat), players, matches, cluster_regions, hot))
 
 
 def region_activity_authored(
@@ -137,7 +192,8 @@ def region_activity_authored(
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Players who wrote, and their messages, per region."""
-    return _busiest_first(_authored_level(chat, players, matches, cluster_regions, hot_share))
+    hot = hot_players(players, hot_share)
+    return _busiest_first(_authored_level(_seat_counts(chat), players, matches, cluster_regions, hot))
 
 
 def toxic_regions(
@@ -149,8 +205,9 @@ def toxic_regions(
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """The ``k`` regions with most toxic messages, joined by match."""
-    totals = _match_level(_toxic(chat), players, matches, cluster_regions, hot_share)
-    return top_k(totals, "busy", k, ["region"]).drop("busy")
+    hot = hot_keys(players, ["match_id"], hot_share)
+    counts = _match_counts(_toxic(chat))
+    return _busiest(_match_level(counts, players, matches, cluster_regions, hot), k)
 
 
 def toxic_regions_authored(
@@ -162,29 +219,55 @@ def toxic_regions_authored(
     hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """The ``k`` regions with most toxic messages, by the seat that wrote them."""
-    totals = _authored_level(_toxic(chat), players, matches, cluster_regions, hot_share)
-    return top_k(totals, "busy", k, ["region"]).drop("busy")
+    hot = hot_players(players, hot_share)
+    counts = _seat_counts(_toxic(chat))
+    return _busiest(_authored_level(counts, players, matches, cluster_regions, hot), k)
 
 
-def _account_totals(chat: DataFrame, players: DataFrame, hot_share: float) -> DataFrame:
-    authored = authored_counts(chat, players, hot_share)
+def _account_totals(authored: DataFrame) -> DataFrame:
     return authored.groupBy("account_id").agg(F.sum("messages").alias("n_messages"))
 
 
+def _most_first(authored: DataFrame) -> DataFrame:
+    return _account_totals(authored).orderBy(F.desc("n_messages"), "account_id")
+
+
 def messages_per_account(
     chat: DataFrame, players: DataFrame, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """Messages written per account, most first."""
-    totals = _account_totals(chat, players, hot_share)
-    return totals.orderBy(F.desc("n_messages"), "account_id")
+    return _most_first(authored_counts(chat, players, hot_share))
 
 
 def toxic_players(
     chat: DataFrame, players: DataFrame, k: int = 10, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """The ``k`` accounts with most toxic messages."""
-    totals = _account_totals(_toxic(chat), players, hot_share)
-    return top_k(totals, "n_messages", k, ["account_id"])
+    authored = authored_counts(_toxic(chat), players, hot_share)
+    return top_k(_account_totals(authored), "n_messages", k, ["account_id"])
+
+
+def join_reports(
+    fold: DataFrame,
+    players: DataFrame,
+    matches: DataFrame,
+    cluster_regions: DataFrame,
+    hot: HotKeys,
+    regions: int = 5,
+    accounts: int = 10,
+) -> dict[str, DataFrame]:
+    """The six join reports from one :func:`seat_fold` and one search for hot keys."""
+    game = (players, matches, cluster_regions)
+    toxic = _toxic_seats(fold)
+    toxic_totals = _account_totals(_authored(toxic, players, hot.seats))
+    return {
+        "region_activity": _busiest_first(_match_level(_matches_of(fold), *game, hot.matches)),
+        "region_activity_authored": _busiest_first(_authored_level(fold, *game, hot)),
+        "messages_per_account": _most_first(_authored(fold, players, hot.seats)),
+        "toxic_regions_top5": _busiest(_match_level(_matches_of(toxic), *game, hot.matches), regions),
+        "toxic_regions_authored": _busiest(_authored_level(toxic, *game, hot), regions),
+        "toxic_players_top10": top_k(toxic_totals, "n_messages", accounts, ["account_id"]),
+    }
 
 
 def _labelled() -> dict[str, Column]:
