@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from tiltwatch.config import LABELS, Settings, work_folder
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
-from tiltwatch.models.classifier import text_classifier
+from tiltwatch.models.classifier import fit_report, text_classifier
 from tiltwatch.models.text import sentence_encoder
 from tiltwatch.models.tracking import Run, load_model, register_model, registered_models
 from tiltwatch.operators.metrics import label_scores
-from tiltwatch.plans.documents import COMMENT_LABELS, comment_labels
+from tiltwatch.plans.documents import COMMENT_LABELS, THRESHOLDS, comment_labels
 from tiltwatch.sources import star, tables
 from tiltwatch.streaming.scoring import score
 
@@ -139,18 +139,32 @@ def test_registry_and_run_log(spark, database, small_model):
         load_model(spark, "none", models)
 
 
-def test_failed_run_is_not_logged(spark, database):
+def test_failed_run_is_logged_as_failed(spark, database):
     runs = f"{database}.failed_runs"
     with pytest.raises(ZeroDivisionError):
-        with Run(spark, runs, "x"):
+        with Run(spark, runs, "x") as run:
+            run.log_param("threshold", 0.7)
             1 / 0
-    assert not spark.catalog.tableExists(runs)
+    logged = spark.table(runs).collect()
+    assert [r["status"] for r in logged] == ["failed"]
+    assert logged[0]["params"] == {"threshold": "0.7"} and logged[0]["metrics"] == {}
+
+
+def test_threshold_per_label(spark, training):
+    settings = {"dimensions": 1 << 8, "max_iter": 3, "thresholds": {"toxic": 0.0, "threat": 1.0}}
+    fitted = text_classifier(("toxic", "threat"), **settings).fit(training)
+    assert predicted(score(chat(spark, "beware", "awful"), fitted)) == [["toxic"], ["toxic"]]
+    assert fit_report(fitted, 3).keys() == {
+        f"{kind}_{label}" for kind in ("iterations", "converged") for label in ("toxic", "threat")
+    }
 
 
 def test_quality_on_labelled_documents(spark):
     comments = comment_labels(star.comments(spark, "/root/testdata/sf0.1"))
     train, validation = hash_split(comments, "doc_id")
-    fitted = text_classifier(COMMENT_LABELS).fit(train)
+    fitted = text_classifier(COMMENT_LABELS, text_features=True, thresholds=THRESHOLDS).fit(train)
     scores = label_scores(score(validation, fitted), "labels", "predicted", COMMENT_LABELS)
     toxic = scores.filter("label = 'toxic'").first()
     assert toxic["precision"] > 0.85 and toxic["recall"] > 0.6
+    quality = scores.filter("label = 'low_quality'").first()
+    assert quality["precision"] > 0.7 and quality["recall"] > 0.5

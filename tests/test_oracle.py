@@ -23,6 +23,7 @@ def test_sql_covers_all_but_model_queries():
         "sentence_vectors",
         "classified_documents",
         "classifier_quality",
+        "classifier_label_quality",
     }
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())

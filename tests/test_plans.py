@@ -92,8 +92,6 @@ def test_word_predictions_do_not_shuffle_text(spark):
 
 @pytest.mark.parametrize("name", sorted(set(all_queries()) - {"stream_scoring"}))
 def test_no_python_worker_and_no_cross_join(spark, name):
-    if name in ("csv_documents", "compacted_match_share", "clustered_match_share"):
-        pytest.skip("writes files; its parts are checked above")
     text = plan(all_queries()[name](spark, FOLDER))
     for operator in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoop"):
         assert operator not in text

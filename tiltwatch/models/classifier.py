@@ -7,7 +7,8 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -15,34 +16,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS
-from tiltwatch.models.text import document_stage, sentence_vector_stages, token_stage
+from tiltwatch.models.text import (
+    TEXT_FEATURES,
+    document_stage,
+    sentence_vector_stages,
+    text_feature_stages,
+    token_stage,
+)
 
 
 def _probability(label: str) -> str:
     return f"probability_{label}"
 
 
+def _without(*columns: str) -> Transformer:
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(columns)}) FROM __THIS__")
+
+
 class LabelAssembler(
     Transformer, DefaultParamsReadable, DefaultParamsWritable
 ):
     """Folds the labels' probability vectors into ``class``.
 
     ``class`` is ``array<struct<result, confidence>>`` with the labels whose
-    probability exceeds the threshold; ``class.result`` is the label set.
+    probability exceeds their threshold; ``class.result`` is the label set.
+    ``thresholds``, one per label, goes before the common ``threshold``.
     """
 
     labels = Param(Params._dummy(), "labels", "label names", TypeConverters.toListString)
     threshold = Param(Params._dummy(), "threshold", "least probability", TypeConverters.toFloat)
+    thresholds = Param(
+        Params._dummy(), "thresholds", "least probability of each label", TypeConverters.toListFloat
+    )
 
     @keyword_only
-    def __init__(self, *, labels: Sequence[str] = LABELS, threshold: float = 0.7):
+    def __init__(
+        self, *, labels: Sequence[str] = LABELS, threshold: float = 0.7, thresholds: Sequence[float] = ()
+    ):
         super().__init__()
-        self._setDefault(labels=list(LABELS), threshold=0.7)
+        self._setDefault(labels=list(LABELS), threshold=0.7, thresholds=[])
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         names = self.getOrDefault(self.labels)
-        least = self.getOrDefault(self.threshold)
+        least = dict.fromkeys(names, self.getOrDefault(self.threshold))
+        least |= dict(zip(names, self.getOrDefault(self.thresholds)))
         scored = F.array(
             *[
                 F.struct(
@@ -52,7 +70,8 @@ class LabelAssembler(
                 for name in names
             ]
         )
-        kept = F.filter(scored, lambda item: item["confidence"] > least)
+        bounds = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+        kept = F.filter(scored, lambda item: item["confidence"] > bounds[item["result"]])
         return dataset.withColumn("class", kept).drop(*[_probability(n) for n in names])
 
 
@@ -61,7 +80,9 @@ class MultiLabelClassifier(Estimator):
 
     The features are materialised once, in partitions evened out by size since
     every iteration passes over them; the labels are then fitted side by side.
-    Every fit is a distributed gradient sum over a vector of fixed width.
+    Every fit is a distributed gradient sum over a vector of fixed width. It
+    ends after ``max_iter`` passes, or sooner where the loss changes by less
+    than ``tolerance``; :func:`fit_report` tells which.
     """
 
     @keyword_only
@@ -71,8 +92,11 @@ class MultiLabelClassifier(Estimator):
         labels: Sequence[str] = LABELS,
         label_col: str = "labels",
         features_col: str = "universal_embeddings",
+        drop_features: bool = False,
         threshold: float = 0.7,
+        thresholds: dict[str, float] | None = None,
         max_iter: int = 20,
+        tolerance: float = 1e-6,
         penalty: float = 0.003,
         parallelism: int = 4,
     ):
@@ -80,8 +104,11 @@ class MultiLabelClassifier(Estimator):
         self.label_names = list(labels)
         self.label_col = label_col
         self.features_col = features_col
+        self.drop_features = drop_features
         self.threshold = threshold
+        self.thresholds = thresholds or {}
         self.max_iter = max_iter
+        self.tolerance = tolerance
         self.penalty = penalty
         self.parallelism = parallelism
 
@@ -97,6 +124,7 @@ class MultiLabelClassifier(Estimator):
                 rawPredictionCol="",
                 predictionCol="",
                 maxIter=self.max_iter,
+                tol=self.tolerance,
                 regParam=self.penalty,
                 elasticNetParam=1.0,
                 family="binomial",
@@ -112,8 +140,24 @@ class MultiLabelClassifier(Estimator):
         finally:
             pool.close()
             shared.unpersist()
-        assembler = LabelAssembler(labels=self.label_names, threshold=self.threshold)
-        return PipelineModel([*fitted, assembler])
+        assembler = LabelAssembler(
+            labels=self.label_names,
+            threshold=self.threshold,
+            thresholds=[float(self.thresholds.get(x, self.threshold)) for x in self.label_names],
+        )
+        last = [_without(self.features_col)] if self.drop_features else []
+        return PipelineModel([*fitted, assembler, *last])
+
+
+def fit_report(model: PipelineModel, max_iter: int) -> dict[str, float]:
+    """``iterations_<label>`` and ``converged_<label>`` (1 or 0) of a freshly fitted pipeline."""
+    report = {}
+    for stage in model.stages[-1].stages:
+        if isinstance(stage, LogisticRegressionModel) and stage.hasSummary:
+            label = stage.getProbabilityCol().removeprefix(_probability(""))
+            done = stage.summary.totalIterations
+            report |= {f"iterations_{label}": float(done), f"converged_{label}": float(done < max_iter)}
+    return report
 
 
 def text_classifier(
@@ -121,14 +165,21 @@ def text_classifier(
     text_col: str = "comment_text",
     dimensions: int = 1 << 16,
     dense: bool = False,
+    text_features: bool = False,
     **settings,
 ) -> Pipeline:
-    """Document, tokens, sentence vector and classifier as one pipeline."""
-    return Pipeline(
-        stages=[
-            document_stage(text_col),
-            token_stage(),
-            *sentence_vector_stages(dimensions, dense),
-            MultiLabelClassifier(labels=list(labels), **settings),
+    """Document, tokens, sentence vector and classifier as one pipeline.
+
+    ``text_features`` adds ``TEXT_FEATURES`` to the vector, for labels that
+    depend on how a longer text is made rather than on its words.
+    """
+    stages = [document_stage(text_col), token_stage(), *sentence_vector_stages(dimensions, dense)]
+    if text_features:
+        given = ["universal_embeddings", *TEXT_FEATURES]
+        stages += [
+            *text_feature_stages(),
+            VectorAssembler(inputCols=given, outputCol="features"),
+            _without(*TEXT_FEATURES),
         ]
-    )
+        settings = {"features_col": "features", "drop_features": True} | settings
+    return Pipeline(stages=[*stages, MultiLabelClassifier(labels=list(labels), **settings)])

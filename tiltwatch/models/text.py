@@ -44,6 +44,27 @@ def sentence_vector_stages(dimensions: int = 1 << 16, dense: bool = False) -> li
     ]
 
 
+# What hashed tokens leave out of a text, by column name.
+TEXT_FEATURES = {
+    "log_tokens": "ln(1D + size(token))",
+    "distinct_share": "coalesce(try_divide(size(array_distinct(token)), size(token)), 1D)",
+    "repeated_lines": "coalesce(1D - try_divide(size(array_distinct(text_lines)), size(text_lines)), 0D)",
+    "symbol_share": r"""coalesce(try_divide(
+        length(regexp_replace(document, '[\\p{L}\\p{N}\\s]', '')), length(document)), 0D)""",
+    "mean_token": "coalesce(try_divide(length(array_join(token, '')), size(token)), 0D)",
+}
+
+
+def text_feature_stages() -> list[Transformer]:
+    """One double column per entry of ``TEXT_FEATURES``; an empty text has fixed values."""
+    lines = r"filter(split(document, '\\n'), x -> x != '')"
+    columns = ", ".join(f"{formula} AS {name}" for name, formula in TEXT_FEATURES.items())
+    return [
+        SQLTransformer(statement=f"SELECT *, {lines} AS text_lines FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT * EXCEPT (text_lines), {columns} FROM __THIS__"),
+    ]
+
+
 def sentence_encoder(
     text_col: str = "comment_text", dimensions: int = 1 << 16, dense: bool = False
 ) -> PipelineModel:

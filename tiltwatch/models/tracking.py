@@ -9,9 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiltwatch.sources.tables import append_evolving
+
 RUNS = (
     "run_id string, experiment string, started timestamp, ended timestamp, "
-    "params map<string,string>, metrics map<string,double>"
+    "params map<string,string>, metrics map<string,double>, status string"
 )
 REGISTRY = (
     "name string, version int, stage string, path string, run_id string, registered timestamp"
@@ -19,11 +21,15 @@ REGISTRY = (
 
 
 def _append(spark: SparkSession, table: str, schema: str, row: tuple) -> None:
-    spark.createDataFrame([row], schema).write.format("parquet").mode("append").saveAsTable(table)
+    append_evolving(spark, spark.createDataFrame([row], schema), table)
 
 
 class Run:
-    """Collects the parameters and metrics of one run, logged when the block ends."""
+    """Collects the parameters and metrics of one run, logged when the block ends.
+
+    A run whose block raises is logged as ``failed`` with what it had so far;
+    the error goes on.
+    """
 
     def __init__(self, spark: SparkSession, table: str, experiment: str):
         self.spark = spark
@@ -44,8 +50,6 @@ class Run:
         self.metrics[name] = float(value)
 
     def __exit__(self, kind, value, trace) -> None:
-        if kind is not None:
-            return
         row = (
             self.run_id,
             self.experiment,
@@ -53,6 +57,7 @@ class Run:
             dt.datetime.now(),
             self.params,
             self.metrics,
+            "finished" if kind is None else "failed",
         )
         _append(self.spark, self.table, RUNS, row)
 

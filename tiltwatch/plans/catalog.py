@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +13,8 @@ from tiltwatch.config import work_folder
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.models.classifier import text_classifier
 from tiltwatch.models.text import sentence_encoder
-from tiltwatch.operators.metrics import document_scores
+from tiltwatch.models.tracking import load_model, register_model
+from tiltwatch.operators.metrics import document_scores, label_scores
 from tiltwatch.operators.range_counts import range_counts
 from tiltwatch.plans import documents as D
 from tiltwatch.plans import elementary as E
@@ -21,7 +23,8 @@ from tiltwatch.functions.split import hash_split
 from tiltwatch.sources import star
 from tiltwatch.sources.csv import load_csv, write_csv
 from tiltwatch.sources.layout import compact_files
-from tiltwatch.streaming.scoring import score, wait
+from tiltwatch.sources.tables import append_evolving, ensure_database, save_gold, save_table
+from tiltwatch.streaming.scoring import StreamTarget, score, score_stream, score_table, wait
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -142,37 +145,78 @@ def csv_documents(spark: SparkSession, folder: str) -> DataFrame:
     return load_csv(spark, target, documents.schema)
 
 
-def _scored_documents(documents: DataFrame) -> DataFrame:
-    scored = score(documents.select("doc_id", F.col("text").alias("key")), D.word_model())
-    return _joined(
-        scored.select("doc_id", F.length("comment_text").alias("n_chars"), "predicted"), "predicted"
-    )
+def _work_database(spark: SparkSession) -> str:
+    """A new database in the shared work folder, for queries that need named tables."""
+    name = f"tiltwatch_{uuid.uuid4().hex[:12]}"
+    current = spark.catalog.currentDatabase()
+    ensure_database(spark, name, work_folder(spark, "database"))
+    spark.catalog.setCurrentDatabase(current)
+    return name
+
+
+def _messages(spark: SparkSession, folder: str) -> DataFrame:
+    return star.read(spark, folder, "documents").select("doc_id", F.col("text").alias("key"))
+
+
+def _shown(scored: DataFrame, *more: str) -> DataFrame:
+    shown = scored.select("doc_id", F.length("comment_text").alias("n_chars"), *more, "predicted")
+    return _joined(shown, "predicted")
 
 
 def batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored_documents(star.read(spark, folder, "documents"))
+    return _shown(score(_messages(spark, folder), D.word_model()))
 
 
 def stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents read as a stream, scored into files, and read back."""
-    schema = star.read(spark, folder, "documents").schema
-    # A glob, so the table may be one file or a folder of files.
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", 10_000)
-        .parquet(f"{folder}/{{documents}}.parquet")
-    )
-    target = work_folder(spark, "stream")
-    query = (
-        _scored_documents(stream)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .option("checkpointLocation", f"{target}/checkpoint")
-        .start(f"{target}/rows")
-    )
-    wait(query)
-    return spark.read.parquet(f"{target}/rows")
+    """A table of the documents read as a stream, scored into another, and read back."""
+    database = _work_database(spark)
+    save_table(_messages(spark, folder), f"{database}.chat")
+    target = StreamTarget(f"{database}.scored", work_folder(spark, "checkpoint"))
+    wait(score_stream(spark, f"{database}.chat", target, D.word_model()))
+    return _shown(spark.table(target.table))
+
+
+def stream_widened(spark: SparkSession, folder: str) -> DataFrame:
+    """Short documents streamed without a language, then the others with one.
+
+    The second run goes on from the first one's checkpoint; source and target
+    get the new column, NULL in the rows that they held before.
+    """
+    database = _work_database(spark)
+    source = f"{database}.chat"
+    documents = star.read(spark, folder, "documents")
+    short = F.coalesce(F.col("n_chars") < 1000, F.lit(True))
+    columns = ["doc_id", F.col("text").alias("key")]
+    save_table(documents.filter(short).select(*columns), source)
+    target = StreamTarget(f"{database}.scored", work_folder(spark, "checkpoint"))
+    wait(score_stream(spark, source, target, D.word_model()))
+    append_evolving(spark, documents.filter(~short).select(*columns, "lang"), source)
+    wait(score_stream(spark, source, target, D.word_model()))
+    return _shown(spark.table(target.table), "lang")
+
+
+def registered_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """A registered model loaded again scores one table into another, which is read back."""
+    database = _work_database(spark)
+    registry = f"{database}.models"
+    register_model(spark, D.word_model(), "words", registry, work_folder(spark, "models"))
+    save_table(_messages(spark, folder), f"{database}.chat")
+    model = load_model(spark, "words", registry)
+    score_table(spark, f"{database}.chat", f"{database}.scored", model)
+    return _shown(spark.table(f"{database}.scored"))
+
+
+def repartitioned_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Scoring behind a shuffle that spreads badly split input over as many tasks as shuffles use."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _shown(score(_messages(spark, folder), D.word_model(), tasks))
+
+
+def gold_messages_per_label(spark: SparkSession, folder: str) -> DataFrame:
+    """A report saved as a gold table and read back."""
+    table = f"{_work_database(spark)}.gold_messages_per_label"
+    save_gold(R.messages_per_label(star.chat_pred(spark, folder)), table)
+    return spark.table(table)
 
 
 def widened_union(spark: SparkSession, folder: str) -> DataFrame:
@@ -183,26 +227,32 @@ def widened_union(spark: SparkSession, folder: str) -> DataFrame:
     return lobby.unionByName(played, allowMissingColumns=True)
 
 
+# A table before compaction has so many files.
+LOOSE_FILES = 64
+
+
 def _compacted(cluster_by: tuple[str, ...]) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         chat = star.chat_pred(spark, folder).select("match_id", "slot", "time", "predicted")
         loose, tight = work_folder(spark, "loose"), work_folder(spark, "tight")
-        chat.write.parquet(loose)
+        chat.repartition(LOOSE_FILES).write.parquet(loose)
         compact_files(spark, loose, tight, cluster_by)
         return R.match_share_per_label(spark.read.parquet(tight))
 
     return query
 
 
-# One fitted model per session and input; fitting runs on the labelled part.
-_MODELS: dict[tuple[str, str], object] = {}
+# One fitted model per session and state of the input; fitting runs on the labelled part.
+_MODELS: dict[tuple, object] = {}
 
 
 def _trained(spark: SparkSession, folder: str):
-    key = (spark.sparkContext.applicationId, folder)
+    key = tuple(star.state(spark, folder, name) for name in ("documents", "labels"))
     if key not in _MODELS:
         train, _ = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
-        _MODELS[key] = text_classifier(D.COMMENT_LABELS).fit(train)
+        _MODELS[key] = text_classifier(
+            D.COMMENT_LABELS, text_features=True, thresholds=D.THRESHOLDS
+        ).fit(train)
     return _MODELS[key]
 
 
@@ -222,6 +272,26 @@ def classifier_quality(spark: SparkSession, folder: str) -> DataFrame:
     return document_scores(scored, "labels", "predicted", D.COMMENT_LABELS)
 
 
+def _label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    _, validation = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
+    scored = score(validation, _trained(spark, folder))
+    return label_scores(scored, "labels", "predicted", D.COMMENT_LABELS)
+
+
+def classifier_support(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out documents that carry each label, as the classifier's measures count them."""
+    return _label_quality(spark, folder).select("label", (F.col("tp") + F.col("fn")).alias("documents"))
+
+
+def sentence_vector_norms(spark: SparkSession, folder: str) -> DataFrame:
+    """Width and length of every document's sentence vector."""
+    vectors = sentence_vectors(spark, folder)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
+    return vectors.select(
+        "doc_id", F.size("embedding").alias("width"), F.round(F.sqrt(squares), 6).alias("norm")
+    )
+
+
 def sentence_vectors(spark: SparkSession, folder: str) -> DataFrame:
     """A 512-wide unit vector per document, as an array."""
     documents = star.read(spark, folder, "documents").select("doc_id", "text")
@@ -266,11 +336,18 @@ def all_queries() -> dict[str, Query]:
         "sentence_vectors": sentence_vectors,
         "classified_documents": classified_documents,
         "classifier_quality": classifier_quality,
+        "classifier_label_quality": _label_quality,
+        "classifier_support": classifier_support,
+        "sentence_vector_norms": sentence_vector_norms,
         # Sources, sinks, streams and layout
         "sql_table_scan": sql_table_scan,
         "csv_documents": csv_documents,
         "batch_scoring": batch_scoring,
         "stream_scoring": stream_scoring,
+        "stream_widened": stream_widened,
+        "registered_scoring": registered_scoring,
+        "repartitioned_scoring": repartitioned_scoring,
+        "gold_messages_per_label": gold_messages_per_label,
         "widened_union": widened_union,
         "compacted_match_share": _compacted(()),
         "clustered_match_share": _compacted(("match_id",)),
@@ -315,6 +392,7 @@ def all_queries() -> dict[str, Query]:
         "top_units": _on_game(E.top_units),
         "union_of_counts": _on_game(E.union_of_counts),
         "union_of_times": _on_game(E.union_of_times),
+        "union_of_matches": _on_game(E.union_of_matches),
         # Scalar functions
         "label_array_functions": _on_training(E.label_array_functions),
         "cast_flags": _on_training(E.cast_flags),

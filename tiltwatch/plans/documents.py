@@ -14,6 +14,8 @@ from tiltwatch.operators.metrics import document_scores, label_scores, macro_f1
 from tiltwatch.plans.reports import training_preview
 
 COMMENT_LABELS = ("toxic", "low_quality")
+#: Low quality shows less plainly in words than insults do.
+THRESHOLDS = {"toxic": 0.7, "low_quality": 0.5}
 
 # Words that stand in for a classifier where results must be exact.
 WORDS = (

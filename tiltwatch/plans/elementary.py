@@ -246,6 +246,11 @@ def union_of_times(t: GameTables) -> DataFrame:
     return union.distinct()
 
 
+def union_of_matches(t: GameTables) -> DataFrame:
+    """Matches known from the chat or the match table, each once."""
+    return t.chat.select("match_id").union(t.matches.select("match_id")).distinct()
+
+
 def time_ranges(spark: SparkSession) -> DataFrame:
     """The timeline for whole seconds as a table of closed ranges."""
     rows = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tiltwatch.config import LABELS, Settings
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
-from tiltwatch.models.classifier import text_classifier
+from tiltwatch.models.classifier import fit_report, text_classifier
 from tiltwatch.models.tracking import Run, load_model, register_model
 from tiltwatch.operators.metrics import document_scores
 from tiltwatch.plans import reports as R
@@ -52,6 +52,8 @@ def train(
                 run.log_param(name, value)
         run.log_param("labels", ",".join(LABELS))
         model = pipeline.fit(fitting)
+        for name, value in fit_report(model, pipeline.getStages()[-1].max_iter).items():
+            run.log_metric(name, value)
         scored = score(validation, model)
         measures = document_scores(scored, "labels", "predicted").first().asDict()
         for name, value in measures.items():

@@ -283,6 +283,22 @@ def all_sql() -> dict[str, str]:
         "csv_documents": "SELECT doc_id, text, lang, n_chars FROM documents",
         "batch_scoring": _SCORED,
         "stream_scoring": _SCORED,
+        "stream_widened": f"""SELECT scored.*, CASE WHEN documents.n_chars >= 1000 THEN lang END AS lang
+            FROM ({_SCORED}) scored JOIN documents USING (doc_id)""",
+        "registered_scoring": _SCORED,
+        "repartitioned_scoring": _SCORED,
+        "gold_messages_per_label": _with("chat", _label_union("count(*) AS message_count")),
+        "sentence_vector_norms": r"""SELECT doc_id, 512 AS width,
+            CASE WHEN regexp_matches(coalesce(text, ''), '[\p{L}\p{N}]') THEN 1.0::DOUBLE
+            ELSE 0.0::DOUBLE END AS norm FROM documents""",
+        "classifier_support": _with(
+            "comments",
+            """SELECT label, count(*) FILTER (flag = 1) AS documents FROM (
+            SELECT 'toxic' AS label, toxic AS flag, doc_id FROM comments
+            UNION ALL SELECT 'low_quality', low_quality, doc_id FROM comments)
+            WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
+            GROUP BY label""",
+        ),
         "widened_union": _with(
             "chat",
             """SELECT match_id, slot, time, comment_text AS key,
@@ -440,6 +456,9 @@ def all_sql() -> dict[str, str]:
             GROUP BY unit ORDER BY 2 DESC, unit LIMIT 5""",
         ),
         "union_of_counts": _with("chat", _label_union("count(*) AS message_count")),
+        "union_of_matches": _with(
+            "chat matches", "SELECT match_id FROM chat UNION SELECT match_id FROM matches"
+        ),
         "union_of_times": _with("chat", _time_union(_OVERLAPPING)),
         # Scalar functions
         "label_array_functions": _with(

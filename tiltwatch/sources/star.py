@@ -14,13 +14,20 @@ from pyspark.sql.types import StructType
 
 from tiltwatch.functions.labels import label_set
 
-# Schemas already seen, by session and path; reading one again costs a job.
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
+# Schemas already seen, by session and state of the file or folder; reading one again costs a job.
+_SCHEMAS: dict[tuple, StructType] = {}
+
+
+def state(spark: SparkSession, folder: str, name: str) -> tuple:
+    """The session, path, size and time of change of a table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+    return spark.sparkContext.applicationId, str(path), status.getLen(), status.getModificationTime()
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = state(spark, folder, name)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     return spark.read.schema(_SCHEMAS[key]).parquet(path)

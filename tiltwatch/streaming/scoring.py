@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tiltwatch.sources.layout import has_stream_log, table_folder
 from tiltwatch.sources.tables import add_missing_columns, save_table
 
+# Columns of the model that scored chat does not keep.
 _HELPER_COLUMNS = ("document", "token", "universal_embeddings", "class")
 
 
@@ -68,7 +70,8 @@ def score_stream(
 
     Offsets live in the checkpoint and the file sink commits whole batches, so a
     restarted run neither loses nor repeats rows. Columns that an existing target
-    lacks are added to it first.
+    lacks are added to it first. A target with rows that no stream wrote is
+    refused, since the sink's log would hide them from readers.
     """
     reader = spark.readStream
     if files_per_batch:
@@ -76,6 +79,9 @@ def score_stream(
     stream = reader.table(source) if isinstance(source, str) else source
     scored = score(stream, model, partitions)
     if spark.catalog.tableExists(target.table):
+        streamed = has_stream_log(spark, table_folder(spark, target.table))
+        if not streamed and not spark.table(target.table).isEmpty():
+            raise ValueError(f"{target.table} holds rows that no stream wrote")
         add_missing_columns(spark, target.table, scored)
     return (
         scored.writeStream.format("parquet")
