@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tiltwatch.config import work_folder  # noqa: E402
 from tiltwatch.plans import reports as R  # noqa: E402
-from tiltwatch.plans.catalog import all_queries  # noqa: E402
+from tiltwatch.plans.catalog import all_queries, trained  # noqa: E402
 from tiltwatch.session import build_session  # noqa: E402
 from tiltwatch.sources import star  # noqa: E402
 from tiltwatch.sources.layout import compact_files  # noqa: E402
@@ -72,9 +72,12 @@ def main() -> None:
         run(lambda: queries[name](spark, folder))
     times = {}
     for name in HEADLINE:
-        # A fit is paid for once, in the first run.
-        turns = 1 if name == "classified_documents" else 2
-        times[name] = min(run(lambda: queries[name](spark, folder)) for _ in range(turns))
+        if name == "classified_documents":
+            # The fit is kept for the session, so it is timed by itself.
+            start = time.perf_counter()
+            trained(spark, folder)
+            times["classifier_fit"] = time.perf_counter() - start
+        times[name] = min(run(lambda: queries[name](spark, folder)) for _ in range(2))
 
     # The same report on 5000 small files and after compaction.
     loose, tight = work_folder(spark, "loose"), work_folder(spark, "tight")

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
-from tiltwatch.plans.catalog import all_queries
+from tiltwatch.plans.catalog import LOOSE_FILES, all_queries
 from tiltwatch.plans.oracle import all_sql
 
 FOLDER = "/root/testdata/sf0.01"
@@ -34,5 +34,9 @@ def test_same_result(spark, connection, name):
     compare(QUERIES[name](spark, FOLDER), connection, SQL[name])
 
 
+def test_compaction_query_merges_files(spark):
+    assert len(QUERIES["compacted_match_share"](spark, FOLDER).inputFiles()) < LOOSE_FILES / 8
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 6

@@ -67,6 +67,23 @@ def test_union_form_scans_once_per_label(spark, chat):
     assert len(scans(plan(E.union_of_counts(tables)))) == 6
 
 
+def test_join_reports_read_the_chat_in_one_fold(spark, chat):
+    t = star.GameTables(spark, FOLDER)
+    hot = R.HotKeys(*(df.persist() for df in R.hot_players(t.players)))
+    fold = R.seat_fold(chat).persist()
+    try:
+        assert len(scans(plan(R.seat_fold(chat)))) == 1
+        for report in R.join_reports(fold, t.players, t.matches, t.cluster_regions, hot).values():
+            # Only the plan that fills the kept fold names the chat's text.
+            assert "InMemoryRelation" in plan(report)
+            outside = report._jdf.queryExecution().optimizedPlan().toString()
+            outside = "\n".join(x for x in outside.splitlines() if x.lstrip(" :+-").startswith("Relation"))
+            assert "comment_text" not in outside and "predicted" not in outside
+    finally:
+        for df in (fold, *hot):
+            df.unpersist()
+
+
 def test_filters_reach_the_scan(chat):
     text = plan(chat.filter(F.col("time").between(300, 600)).select("match_id"))
     assert "GreaterThanOrEqual(time,300)" in text and "LessThanOrEqual(time,600)" in text

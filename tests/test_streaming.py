@@ -82,6 +82,16 @@ def test_stream_widens_an_existing_target(spark, database):
     assert rows(got) == [(1, 0, ["toxic", "low_quality"])]
 
 
+def test_stream_into_rows_of_another_writer_is_refused(spark, database):
+    source, taken = f"{database}.refused_source", f"{database}.refused"
+    df = spark.createDataFrame([(1, 0, "gg")], "match_id bigint, slot bigint, key string")
+    tables.save_table(df, source)
+    score_table(spark, source, taken, word_model())
+    with pytest.raises(ValueError, match="no stream wrote"):
+        run(spark, source, StreamTarget(taken, work_folder(spark, "checkpoint")))
+    assert spark.table(taken).count() == 1
+
+
 def test_failure_in_the_stream_is_raised(spark, database):
     source = f"{database}.bad_source"
     tables.save_table(spark.createDataFrame([("x",)], "key string"), source)

@@ -246,7 +246,8 @@ def _compacted(cluster_by: tuple[str, ...]) -> Query:
 _MODELS: dict[tuple, object] = {}
 
 
-def _trained(spark: SparkSession, folder: str):
+def trained(spark: SparkSession, folder: str):
+    """The document classifier, fitted when first asked for."""
     key = tuple(star.state(spark, folder, name) for name in ("documents", "labels"))
     if key not in _MODELS:
         train, _ = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
@@ -260,7 +261,7 @@ def classified_documents(spark: SparkSession, folder: str) -> DataFrame:
     """All documents labelled by the trained classifier."""
     documents = star.read(spark, folder, "documents")
     scored = score(
-        documents.select("doc_id", F.col("text").alias("key")), _trained(spark, folder)
+        documents.select("doc_id", F.col("text").alias("key")), trained(spark, folder)
     )
     return _joined(scored.select("doc_id", "predicted"), "predicted")
 
@@ -268,13 +269,13 @@ def classified_documents(spark: SparkSession, folder: str) -> DataFrame:
 def classifier_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Measures of the trained classifier on the held-out part."""
     _, validation = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
-    scored = score(validation, _trained(spark, folder))
+    scored = score(validation, trained(spark, folder))
     return document_scores(scored, "labels", "predicted", D.COMMENT_LABELS)
 
 
 def _label_quality(spark: SparkSession, folder: str) -> DataFrame:
     _, validation = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
-    scored = score(validation, _trained(spark, folder))
+    scored = score(validation, trained(spark, folder))
     return label_scores(scored, "labels", "predicted", D.COMMENT_LABELS)
 
 
