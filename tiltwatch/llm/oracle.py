@@ -217,6 +217,97 @@ def _mixing() -> str:
     """
 
 
+def _centroids(k: int = 40, dims: int = 64, rounds: int = 5) -> str:
+    """Every vector against every centroid, round by round."""
+
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+        SELECT any_value(k.vec_id) AS vec_id, any_value(k.v) AS v, min({{'d': CAST(list_inner_product(k.v, k.v)
+            + list_inner_product(c.v, c.v) - 2 * list_inner_product(k.v, c.v) AS BIGINT), 'c': c.c}}) AS m
+        FROM kept k CROSS JOIN c{i} c GROUP BY k.rid)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (
+        SELECT old.c, coalesce(new.v, old.v) AS v FROM c{i} old LEFT JOIN (
+            SELECT c, list(x ORDER BY i) AS v FROM (
+                SELECT c, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS DOUBLE) AS x
+                FROM (SELECT m.c AS c, unnest(range({dims})) AS i, CAST(unnest(v) AS BIGINT) AS x FROM a{i})
+                GROUP BY c, i
+            ) GROUP BY c
+        ) new ON old.c = new.c)"""
+
+    steps = ",\n    ".join(f"{assigned(i)},\n    {moved(i)}" for i in range(rounds))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER () AS rid, vec_id,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}
+    ), c0 AS MATERIALIZED (
+        SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS c, v
+        FROM (SELECT sha256('2:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {k})
+    ), {steps},
+    {assigned(rounds)}
+    SELECT vec_id, CAST(m.c AS INTEGER) AS cluster, m.d AS distance,
+        CAST(sum(m.d) OVER (PARTITION BY m.c) AS BIGINT) AS cluster_inertia,
+        CAST(sum(m.d) OVER () AS BIGINT) AS inertia,
+        sha256(list_aggregate(list_transform(f.v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), 'string_agg', ','))
+            AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} f ON f.c = m.c
+    """
+
+
+def _spelling() -> str:
+    """Near words share a text with one code point deleted; checksums come from their table."""
+    return r"""
+    WITH RECURSIVE crc AS MATERIALIZED (
+        SELECT list(list_reduce(range(8), lambda c, _:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+        FROM (SELECT unnest(range(256)) AS b)
+    ), runs AS MATERIALIZED (
+        SELECT id, run, count(*) AS n FROM (
+            SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+            FROM documents
+        ) WHERE length(run) >= 7 GROUP BY ALL
+    ), hashed AS (
+        SELECT run, n, xor(4294967295, list_reduce(
+            list_transform(range(octet_length(b)), lambda i:
+                CAST('0x' || substr(hex(b), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)),
+            lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) AS h
+        FROM (SELECT run, n, encode(id || ':' || run) AS b FROM runs), crc
+    ), words AS MATERIALIZED (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT n, CASE WHEN h % 31 = 0
+                THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+            FROM hashed
+        ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ), cut AS MATERIALIZED (
+        SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+        FROM (SELECT word, unnest(range(length(word))) AS i FROM words)
+    ), near AS MATERIALIZED (
+        SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+        UNION SELECT c.word, w.word FROM cut c JOIN words w ON c.rest = w.word
+        UNION SELECT w.word, c.word FROM cut c JOIN words w ON c.rest = w.word
+    ), led AS MATERIALIZED (
+        SELECT near.a AS word, count(*) AS n_near, min({'less': -other.n, 'word': other.word}) AS best
+        FROM near JOIN words other ON other.word = near.b GROUP BY near.a
+    ), forms AS MATERIALIZED (
+        SELECT word, best.word AS form, -best.less AS form_n, n_near, -best.less >= 10 * n AS common
+        FROM led JOIN words USING (word)
+    ), walk AS (
+        SELECT word, word AS now FROM words
+        UNION ALL SELECT walk.word, form FROM walk JOIN forms ON forms.word = walk.now AND common
+    ), ends AS (
+        SELECT walk.word, now FROM walk LEFT JOIN forms ON forms.word = walk.now AND common WHERE forms.word IS NULL
+    )
+    SELECT words.word, CASE WHEN common THEN form END AS form, ends.now AS root, words.n,
+        coalesce(n_near, 0) AS n_near, CASE WHEN common THEN form_n END AS form_n
+    FROM words JOIN ends ON ends.word = words.word LEFT JOIN forms ON forms.word = words.word
+    """
+
+
 def all_sql() -> dict[str, str]:
     return {
         "op1_sharding": _sharding(),
@@ -224,4 +315,6 @@ def all_sql() -> dict[str, str]:
         "op5_url_filters": _url_filters(),
         "op6_repetition": _repetition(),
         "op8_mixing": _mixing(),
+        "op11_centroids": _centroids(),
+        "op13_spelling": _spelling(),
     }

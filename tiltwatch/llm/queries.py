@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiltwatch.llm import (
+    centroids,
     decontamination,
     langid,
     mixing,
@@ -16,6 +18,7 @@ from tiltwatch.llm import (
     repetition,
     sharding,
     simhash,
+    spelling,
     toxicity,
     urls,
 )
@@ -116,6 +119,24 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, final = centroids.cluster(read(spark, folder, "embeddings"), k=40, dims=64, rounds=5, seed=2)
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in final.tolist()]
+    found = centroids.with_inertia(assigned)
+    # One digest per centroid, in the plan as a literal.
+    digest = F.element_at(F.array(*map(F.lit, digests)), F.col("cluster") + 1) if digests else F.lit("")
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256")
+    )
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    words = spelling.vocabulary(
+        read(spark, folder, "documents"), min_length=7, min_count=2, noise=spelling.drop_by_checksum(31)
+    )
+    return spelling.variants(words, factor=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_sharding": op1_sharding,
@@ -128,4 +149,6 @@ def all_queries() -> dict[str, Query]:
         "op8_mixing": op8_mixing,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_centroids": op11_centroids,
+        "op13_spelling": op13_spelling,
     }
