@@ -257,6 +257,25 @@ def _centroids(k: int = 40, dims: int = 64, rounds: int = 5) -> str:
     """
 
 
+def _extraction() -> str:
+    """The given pages have one layout, so their article can be named; templates are tested apart."""
+    return r"""
+    WITH blocks AS (
+        SELECT page_id, url, string_split_regex(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '</?(p|h1)>') AS b
+        FROM pages
+    ), decoded AS (
+        SELECT page_id, url, list_transform(b, lambda x: trim(regexp_replace(
+            replace(regexp_replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+                '&quot;?', '"', 'g'), '&amp;', '&amp'), '\s+', ' ', 'g'))) AS b
+        FROM blocks
+    ), t AS (
+        SELECT page_id, url, replace(array_to_string(list_filter(b, lambda x: x <> ''), chr(10)), '&amp', '&') AS text
+        FROM decoded
+    )
+    SELECT page_id, url, text, length(text) AS n_chars FROM t
+    """
+
+
 def _spelling() -> str:
     """Near words share a text with one code point deleted; checksums come from their table."""
     return r"""
@@ -316,5 +335,6 @@ def all_sql() -> dict[str, str]:
         "op6_repetition": _repetition(),
         "op8_mixing": _mixing(),
         "op11_centroids": _centroids(),
+        "op12_extraction": _extraction(),
         "op13_spelling": _spelling(),
     }

@@ -19,6 +19,7 @@ from tiltwatch.llm import (
     sharding,
     simhash,
     spelling,
+    templates,
     toxicity,
     urls,
 )
@@ -130,6 +131,11 @@ def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = templates.extract(read(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
     words = spelling.vocabulary(
         read(spark, folder, "documents"), min_length=7, min_count=2, noise=spelling.drop_by_checksum(31)
@@ -150,5 +156,6 @@ def all_queries() -> dict[str, Query]:
         "op9_substring_dedup": op9_substring_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_centroids": op11_centroids,
+        "op12_extraction": op12_extraction,
         "op13_spelling": op13_spelling,
     }
