@@ -1,7 +1,9 @@
 """Each operator on small rows: against brute force, and on nulls, ties, repeats, clashing names, empty tables."""
 
+import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -260,6 +262,18 @@ def test_plain_prose_has_no_spans():
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "1." * 150_000, "+1" * 150_000, "a@" * 150_000, "@" * 300_000):
         pii.find(text)
+    spaces = " " * 300_000
+    for text in (f"({spaces}", f"_{spaces}", f"[at{spaces}", f"[at]{spaces}", f"{spaces}[", f"a{spaces}(at){spaces}b [dot] c",
+                 f"(at{spaces}) one{spaces}two 3", f"_at_{spaces}" * 2, "a@b.c 1 [dot] " * 30_000, "( " * 150_000):
+        start = time.time()
+        pii.find(text)
+        assert time.time() - start < 2
+
+
+def test_spaces_around_bracketed_signs():
+    text = "x  a   [at]  b (dot)   c  and  d[ . ]e [at] f[dot][dot]g"
+    step = pii._signs(text)
+    assert step.text == "x  a@b.c  and  d.e@f..g"
 
 
 def test_pii_odd_rows(spark, odd):
@@ -465,8 +479,67 @@ def test_languages(spark):
     assert {found[i]["_lang"] for i in (1000, 1001)} == {"und"} and found[1001]["_score"] == 0.0
     assert found[None]["_lang"] == "cc" and found[1002]["_lang"] == "aa"
     assert all(0 <= r["_score"] <= 1 for r in found.values())
-    mixed = model.decide(langid.gram_counts(make("aa", 20) + " " + make("bb", 20)))
-    assert mixed[0] in ("aa", "bb")
+    for lang in sounds:
+        assert model.decide(langid.gram_counts(make(lang, 20)))[2] is False
+    # In between two languages: as many n-grams of either.
+    half = langid.gram_counts(make("aa", 200)), langid.gram_counts(make("bb", 200))
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        mixed = (low + high) / 2 * half[0] + (1 - (low + high) / 2) * half[1]
+        loss = (model.trust * np.logaddexp(0, -model.code * model.margins(mixed))).sum(axis=1)
+        low, high = (low, (low + high) / 2) if loss[0] < loss[1] else ((low + high) / 2, high)
+    mixed = model.decide(mixed)
+    assert mixed[0] in ("aa", "bb") and mixed[2] is True
+
+
+def brute_language(rows, text, orders=(1, 2, 3)):
+    """Two classes by hand: one bit, log-odds of n-gram shares smoothed by a half."""
+    def grams(t):
+        low = " " + "".join(c if c.isalpha() else " " for c in t.lower()) + " "
+        while "  " in low:
+            low = low.replace("  ", " ")
+        return [Counter(low[i : i + n] for i in range(len(low) - n + 1)) for n in orders]
+
+    sums = {}
+    for t, lang in rows:
+        held = sums.setdefault(lang, [Counter() for _ in orders])
+        found = grams(t)
+        share = min(1.0, 2000 / sum(found[0].values()))
+        for a, b in zip(held, found):
+            a.update({g: n * share for g, n in b.items()})
+    one, two = sorted(sums)
+    margin = 0.0
+    for k, found in enumerate(grams(text)):
+        totals = [sum(sums[x][k].values()) + langid.BUCKETS / 2 for x in (one, two)]
+        for g, n in found.items():
+            margin += n * (math.log((sums[one][k][g] + 0.5) / totals[0]) - math.log((sums[two][k][g] + 0.5) / totals[1]))
+    margin /= 4 * len(orders)
+    # Both codewords are one bit, trusted in full: losses log(1 + e^-m) and log(1 + e^m).
+    return (one if margin > 0 else two), (1 + math.tanh(abs(margin) / 2)) / 2
+
+
+def test_language_like_by_hand(spark):
+    from tiltwatch.llm.common import held_out
+
+    rng = random.Random(11)
+    letters = {"p": "abcde", "q": "cdefg"}
+    make = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=4)) for _ in range(n))
+    rows = [(i, make(lang, rng.randint(3, 700)), lang) for i in range(120) for lang in [rng.choice("pq")]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = {r["doc_id"] for r in df.filter(held_out(F.col("doc_id"))).collect()}
+    model = langid.fit(df)
+    model.trust[:] = 1.0
+    learn = [(t, lang) for i, t, lang in rows if i not in out]
+    for text in [make("p", 5), make("q", 5), "cd dc cd", "ab", "fg e", *(t for i, t, _ in rows if i in out)]:
+        lang, score, _ = model.decide(langid.gram_counts(text))
+        want = brute_language(learn, text)
+        assert lang == want[0] and abs(score - want[1]) < 0.02  # n-grams may share a bucket
+
+
+def test_language_labels_are_bounded(spark):
+    rows = [(i, "abc abd", f"l{i % 3}") for i in range(60)] + [(100 + i, "xyz", f"odd{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(df, most_classes=3).classes == ["l0", "l1", "l2"]
 
 
 def test_language_ignores_held_out_labels(spark):
@@ -651,6 +724,76 @@ def test_toxicity_learns_and_leaves_clean_ones_alone(spark):
     assert wrong < 20
 
 
+def test_toxicity_of_one_id_on_a_third_of_all_rows(spark):
+    """Every id teaches once, however many rows it has, and no more than ``fit_rows`` ids do."""
+    rng = random.Random(2)
+    rows = [(i, f"idiot number {i}" if i % 3 == 0 else f"kind word {i}") for i in range(400)]
+    rows += [(8, f"copy {rng.randrange(5)}") for _ in range(200)] + [(None, "idiot")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)] * 2, "doc_id long, toxic int")
+    from tiltwatch.llm.common import held_out, learnable
+
+    free = labels.filter(learnable(F.col("doc_id"))).distinct().count()
+    drawn, _ = toxicity.sample(docs, labels, "doc_id", "text", "toxic", 10_000, 0)
+    assert drawn.count() == drawn.select("doc_id").distinct().count() == free
+    assert drawn.filter(held_out(F.col("doc_id"))).count() == 0
+    few, rate = toxicity.sample(docs, labels, "doc_id", "text", "toxic", 50, 0)
+    assert few.count() == 50 and 0 < rate < 1
+    again, _ = toxicity.sample(docs.repartition(3), labels, "doc_id", "text", "toxic", 50, 0)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, again.collect()))
+    scored = toxicity.toxicity(docs, labels, fit_rows=100, trees=3)
+    assert scored.count() == len(rows)
+
+
+@pytest.mark.parametrize("total", [10**7, 10**11, 10**14])
+def test_draws_do_not_vanish_in_large_tables(spark, total):
+    """Of ids drawn for a table of any size, the expected number passes, here of the smallest hashes alone."""
+    from tiltwatch.llm.common import drawn
+
+    share = 12_000 / total
+    bound = int(share * 2.0**64) - (1 << 63)
+    assert bound > -(1 << 63) and abs((bound + (1 << 63)) / 2.0**64 * total - 12_000) < 1
+    n = spark.range(100_000).filter(drawn("x", F.col("id"), 0.12)).count()
+    assert abs(n - 12_000) < 600 and spark.range(10).filter(drawn("x", F.col("id"), 3.0)).count() == 10
+
+
+def brute_features(text, learned):
+    """The countable features, straight from their names."""
+    words = [w for w in re.split(r"[^a-z0-9\x80-\U0010ffff]+", (text or "").lower()) if w]
+    if not words:
+        return {}
+    n = len(words)
+    hits = [i for i, w in enumerate(words) if w in toxicity.LEXICON]
+    you = [i for i, w in enumerate(words) if w in toxicity.SECOND_PERSON]
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in hits)
+    ascii_letters = [c for c in text if c.isascii() and c.isalpha()]
+    size = len(text.encode())
+    assert size
+    return {
+        "log_words": math.log1p(n), "hits": len(hits), "hit_rate": 1000 * len(hits) / n, "has_hit": float(bool(hits)),
+        "distinct_hits": len({words[i] for i in hits}), "you_rate": 100 * len(you) / n,
+        "hit_share_near_you": near / max(1, len(hits)),
+        "capital_rate": sum(c.isupper() for c in ascii_letters) / max(1, len(ascii_letters)),
+        "mark_rate": 100 * sum(c in "!?" for c in text) / n, "digit_rate": 100 * sum(c in "0123456789" for c in text) / n,
+        "punctuation_rate": 100 * sum(32 < ord(c) < 127 and not c.isalnum() for c in text) / n,
+        "stretch_rate": 100 * sum(a == b == c and a.isascii() and a.isalpha() for a, b, c in zip(text, text[1:], text[2:])) / n,
+        "densest": max((sum(i <= j < i + 50 for j in hits) for i in hits), default=0),
+        "learned_hits": sum(w in learned for w in words), "learned_distinct": len({w for w in words if w in learned}),
+    }
+
+
+def test_toxicity_features_like_by_name():
+    rng = random.Random(17)
+    pool = ["idiot", "you", "YOU", "Stupid!", "nice", "weeeell", "42", "ça", "über", "tree,", "?!", "*", "trash", "day"]
+    learned = {"nice": 1.5, "tree": 0.5}
+    for _ in range(200):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randint(1, 120)))
+        found = dict(zip(toxicity.FEATURES, toxicity.text_features(text, {f"{w} ".encode(): x for w, x in learned.items()}, {})))
+        for name, x in brute_features(text, learned).items():
+            assert found[name] == pytest.approx(x), (name, text)
+    assert set(toxicity.text_features(None, {}, {})) == set(toxicity.text_features(" \n", {}, {})) == {0.0}
+
+
 def test_masked_words():
     assert all(map(toxicity._masked, [b"1d10t", b"st*pid", b"i.d.i.o.t", b"$tupid,"]))
     assert not any(map(toxicity._masked, [b"idea", b"a.b", b"***", b"hello!", b"don't", b"3.14"]))

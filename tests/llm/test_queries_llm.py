@@ -1,5 +1,6 @@
 """The registered queries over given tables: SQL, contracts, held-out quality, and the pipeline."""
 
+import random
 import zlib
 from collections import Counter
 
@@ -42,6 +43,46 @@ def test_toxicity_quality(spark):
     assert sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.05 * len(clean)
 
 
+def _odd_documents(spark):
+    rng = random.Random(3)
+    sounds = {"de": "abekl", "en": "iomnr"}
+    make = lambda lang, n: " ".join("".join(rng.choices(sounds[lang], k=5)) for _ in range(n))
+    rows = [(i, make(lang, 40), lang, "a", 0) for i in range(120) for lang in [("de", "en")[i % 2]]]
+    rows += [(200, make("de", 40), None, None, None), (201, make("en", 40), "de", "b", 0)]
+    both = "zq"  # letters of neither language
+    rows += [(202, both, "en", "a", 0), (203, both, None, "a", 0), (204, None, "de", "a", 0), (205, "", "de", None, 0)]
+    rows += [(None, make("de", 50), "de", "a", 0), (None, "1 2 3", "de", "a", 0), (7, make("en", 30), "en", "a", 0)]
+    rows += [rows[0]] * 3
+    return spark.createDataFrame(
+        [(*r, "x", True) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, _lang string, _ambiguous boolean"
+    )
+
+
+def test_language_stage_decides(spark, monkeypatch):
+    docs = _odd_documents(spark)
+    kept = corpus_pipeline.language(spark, docs, SMALL).collect()
+    langs = {r["doc_id"]: r["lang"] for r in kept}
+    assert langs[200] == "de" and langs[201] == "en"  # a missing and a refuted label
+    assert langs[202] == "en" and 203 not in langs  # in neither for sure, with and without a label
+    assert not {204, 205} & set(langs) and sum(r["doc_id"] is None for r in kept) == 1
+    assert sum(r["doc_id"] == 0 for r in kept) == 4 and sum(r["doc_id"] == 7 for r in kept) == 2
+    monkeypatch.setattr(corpus_pipeline, "WANTED", ("en",))
+    assert {r["lang"] for r in corpus_pipeline.language(spark, docs, SMALL).collect()} == {"en"}
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_stages_over_odd_rows(spark, rows):
+    docs = _odd_documents(spark)
+    docs = docs if rows == "odd" else docs.limit(0)
+    counts = {name: stage(spark, docs, SMALL).count() for name, stage in corpus_pipeline.STAGES}
+    if rows == "none":
+        assert set(counts.values()) == {0}
+        return
+    texts = docs.select("text", "doc_id").collect()
+    assert counts["decontamination"] == counts["sharding"] == len(texts)
+    assert 0 < counts["simhash_dedup"] < len(texts) and counts["mixing"] > 0
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = docs
@@ -56,6 +97,8 @@ def test_pipeline_stages(spark, tmp_path):
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     first = {d for d, t in texts.items() if any(c.isalpha() for c in t)}
     assert {r["doc_id"] for r in rows["language_id"]} == first
+    said = {r["doc_id"]: r["lang_pred"] for r in queries.op7_language_id(spark, SMALL).collect()}
+    assert {r["doc_id"]: r["lang"] for r in rows["language_id"]} == {d: said[d] for d in first}
     fps = {d: brute_fingerprint(texts[d]) for d in first}
     ids = sorted(first)
     links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if (fps[a] ^ fps[b]).bit_count() <= 2]

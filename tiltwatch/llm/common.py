@@ -50,5 +50,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def drawn(purpose: str, key: Column, share: float) -> Column:
+    """Whether a hash of ``key`` falls into the lowest ``share`` of all 2^64; any share is told apart from none."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(F.lit(purpose), key) < F.lit(int(share * 2.0**64) - (1 << 63))
+
+
 def learnable(doc_id: Column) -> Column:
     return doc_id.isNotNull() & ~held_out(doc_id)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiltwatch.llm.common import learnable
+from tiltwatch.llm.common import drawn, learnable
 
 #: Hash buckets for each length of character n-grams.
 BUCKETS = 4096
@@ -101,66 +101,90 @@ class LanguageModel:
         return self.classes[order[0]], float(min(1.0, best)), bool(second > 0.5 * best)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per language of a task's rows, the summed counts and the number of documents."""
-    sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if (counts := gram_counts(text.as_py())) is None:
-                continue
-            held = sums.setdefault(lang, np.zeros(len(counts) + 1))
-            # A very long document counts like one of 2,000 letters.
-            held[:-1] += counts * min(1.0, 2000 / counts[:BUCKETS].sum())
-            held[-1] += 1
-    for lang, held in sums.items():
-        at = np.nonzero(held)[0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(held[at])],
-            ["lang", "bucket", "n"],
-        )
+def _counting(most_letters: int):
+    """Per language and part of a task's rows, the summed counts and, last, the number of documents."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, bool], np.ndarray] = {}
+        for batch in batches:
+            for lang, checks, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if (counts := gram_counts(text.as_py())) is None:
+                    continue
+                held = sums.setdefault((lang, checks), np.zeros(len(counts) + 1))
+                held[:-1] += counts * min(1.0, most_letters / counts[:BUCKETS].sum())
+                held[-1] += 1
+        for (lang, checks), held in sums.items():
+            at = np.nonzero(held)[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(at), pa.string()), pa.array([checks] * len(at)),
+                 pa.array(at.astype(np.int32)), pa.array(held[at])],
+                ["lang", "checks", "bucket", "n"],
+            )
+
+    return counted
+
+
+def _weights(counts: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Log-odds of the mean distributions of a bit's two sides, for every n-gram and bit."""
+    n = len(counts)
+    by_order = counts.reshape(n, len(ORDERS), BUCKETS) + 0.5
+    shares = (by_order / by_order.sum(axis=2, keepdims=True)).reshape(counts.shape)
+    weights = np.zeros((counts.shape[1], code.shape[1]))
+    for b in range(code.shape[1] if n > 1 else 0):
+        one, two = (shares[side].mean(axis=0) for side in (code[:, b] > 0, code[:, b] < 0))
+        weights[:, b] = np.log(one / two)
+    return weights
 
 
 def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-    check_rows: int = 5000,
+    check_rows: int = 5000, most_letters: int = 2000, most_classes: int = 500,
 ) -> LanguageModel:
     """Learn from every labelled row that is not held out.
 
     Tasks sum n-gram counts per language and Spark adds them up, so the driver
-    gets languages times buckets numbers, however many rows there are. A bit's
-    classifier is the log-odds of the mean distributions of its two sides. How
-    far each bit can be trusted is measured on about ``check_rows`` of the
-    learning rows, drawn by a hash of their id.
+    gets classes times buckets numbers, however many rows there are: the
+    ``most_classes`` labels of most documents are learned, ties going to the
+    first in code-point order. A document of more than ``most_letters`` letters weighs
+    like one of so many, all of it counted. A bit's classifier is the log-odds
+    of the mean distributions of its two sides. How far each bit can be
+    trusted is measured on about ``check_rows`` rows, a fifth of all at most,
+    drawn by a hash of their id, by classifiers that have not seen these; the final ones have.
+
+    Rows whose id, label or text is NULL, or whose text has no letter, teach
+    nothing. Without any other the model has no classes and answers ``und``;
+    repeated rows count repeatedly; other columns are not read.
     """
     rows = docs.filter(learnable(F.col(id_col)) & F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).alias("lang"), F.col(text_col).alias("text")
     )
-    parts = rows.select("lang", "text").mapInArrow(_counted, "lang string, bucket int, n double")
-    table = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pydict()
+    sizes = rows.groupBy("lang").count()
+    total = sizes.agg(F.sum("count")).first()[0] or 1
+    named = sorted(r["lang"] for r in sizes.orderBy(F.desc("count"), "lang").limit(most_classes).collect())
+    rows = rows.filter(F.col("lang").isin(named)).withColumn(
+        "checks", drawn("trust", F.col("id"), min(0.2, check_rows / total))
+    )
+    parts = rows.select("lang", "checks", "text").mapInArrow(
+        _counting(most_letters), "lang string, checks boolean, bucket int, n double"
+    )
+    table = parts.groupBy("lang", "checks", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pydict()
     classes = sorted(set(table["lang"]))
     size = len(ORDERS) * BUCKETS
-    counts, n_docs = np.zeros((len(classes), size)), np.zeros(len(classes))
+    counts = np.zeros((2, len(classes), size))
     place = {c: i for i, c in enumerate(classes)}
-    for lang, bucket, n in zip(table["lang"], table["bucket"], table["n"]):
+    for lang, checks, bucket, n in zip(*(table[c] for c in ("lang", "checks", "bucket", "n"))):
         if bucket < size:
-            counts[place[lang], bucket] = round(n, 6)
-        else:
-            n_docs[place[lang]] = n
+            counts[int(checks), place[lang], bucket] = round(n, 6)
     code = codewords(len(classes))
-    by_order = counts.reshape(len(classes), len(ORDERS), BUCKETS) + 0.5
-    shares = (by_order / by_order.sum(axis=2, keepdims=True)).reshape(len(classes), size)
-    weights = np.zeros((size, code.shape[1]))
-    for b in range(code.shape[1] if len(classes) > 1 else 0):
-        one, two = (shares[side].mean(axis=0) for side in (code[:, b] > 0, code[:, b] < 0))
-        weights[:, b] = np.log(one / two)
-    model = LanguageModel(classes, code, weights, np.ones(code.shape))
+    model = LanguageModel(classes, code, _weights(counts[0], code), np.ones(code.shape))
     if len(classes) > 1:
-        model.trust = _trust(rows, model, min(1.0, check_rows / max(1.0, n_docs.sum())))
+        model.trust = _trust(rows.filter("checks"), model)
+    model.weights = _weights(counts.sum(axis=0), code)
     return model
 
 
-def _trust(rows: DataFrame, model: LanguageModel, share: float) -> np.ndarray:
-    """Per class and bit, how often the bit is right on a share of the rows, rows summing to one."""
+def _trust(rows: DataFrame, model: LanguageModel) -> np.ndarray:
+    """Per class and bit, how often the bit is right on these rows; a class sums to its number of bits."""
 
     def right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hits = np.zeros((len(model.classes), model.code.shape[1] + 1))
@@ -175,8 +199,7 @@ def _trust(rows: DataFrame, model: LanguageModel, share: float) -> np.ndarray:
             [pa.array(at.astype(np.int32)), pa.array(hits.ravel()[at])], ["at", "n"]
         )
 
-    drawn = F.pmod(F.xxhash64(F.lit("trust"), "id"), F.lit(1_000_000)) < int(share * 1_000_000)
-    found = rows.filter(drawn).select("lang", "text").mapInArrow(right, "at int, n double")
+    found = rows.select("lang", "text").mapInArrow(right, "at int, n double")
     hits = np.zeros((len(model.classes), model.code.shape[1] + 1))
     for row in found.groupBy("at").agg(F.sum("n").alias("n")).collect():  # classes x bits
         hits.ravel()[row["at"]] = row["n"]

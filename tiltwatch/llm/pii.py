@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,16 +44,19 @@ _SPELLED_RUN = re.compile(
 )
 _OPEN, _SHUT = r"\x20*[\[({<]\x20*", r"\x20*[\])}>]\x20*"
 _DOTTED = re.compile(rf"(?:{_OPEN}(?:{_DOT_WORDS}|\.){_SHUT}|\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_)", re.I)
+#: Bracketed signs are found without the spaces around them, which are added by hand: a search that begins
+#: with spaces would start anew at each space of a run.
+_BRACKETED = r"[\[({{<]\x20*+(?:{})\x20*+[\])}}>]"
 _DOT = re.compile(
-    rf"{_OPEN}(?:{_DOT_WORDS}|\.){_SHUT}"
-    rf"|(?<=[A-Za-z0-9])(?:\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_)(?=[A-Za-z0-9])",
+    _BRACKETED.format(_DOT_WORDS + r"|\.")
+    + rf"|(?<=[A-Za-z0-9])(?:\x20(?:{_DOT_WORDS})\x20|_(?:{_DOT_WORDS})_)(?=[A-Za-z0-9])",
     re.I,
 )
 _AT = re.compile(
-    rf"{_OPEN}(?:{_AT_WORDS}|@){_SHUT}"
-    rf"|(?<=[A-Za-z0-9])_(?:{_AT_WORDS})_(?=[A-Za-z0-9])"
+    _BRACKETED.format(_AT_WORDS + "|@")
+    + rf"|(?<=[A-Za-z0-9])_(?:{_AT_WORDS})_(?=[A-Za-z0-9])"
     # A bare word counts only before a host whose dots are disguised as well.
-    rf"|(?<=[A-Za-z0-9])\x20(?:{_AT_WORDS})\x20(?=[A-Za-z0-9-]+\x20(?:{_DOT_WORDS})\x20[A-Za-z])",
+    + rf"|(?<=[A-Za-z0-9])\x20(?:{_AT_WORDS})\x20(?=[A-Za-z0-9-]+\x20(?:{_DOT_WORDS})\x20[A-Za-z])",
     re.I,
 )
 _PLUS = re.compile(rf"(?<![A-Za-z])(?:{_PLUS_WORDS})\x20+(?=[0-9])", re.I)
@@ -207,11 +210,25 @@ def _spelled(text: str) -> Rewrite | None:
     return Rewrite(text, changes) if changes else None
 
 
+def _with_spaces(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
+    """Matches of a sign; bracketed ones with all spaces around them that no earlier match took."""
+    done = 0
+    for m in pattern.finditer(text):
+        start, end = m.span()
+        if text[start] in "[({<":
+            while start > done and text[start - 1] == " ":
+                start -= 1
+            while text[end : end + 1] == " ":
+                end += 1
+        done = end
+        yield start, end
+
+
 def _signs(text: str) -> Rewrite | None:
     """Disguised at, dot and plus signs, and letters within numbers that stand for digits."""
     changes = []
     if _hinted(text):
-        changes = [(m.start(), m.end(), s) for s, p in (("@", _AT), (".", _DOT)) for m in p.finditer(text)]
+        changes = [(*span, s) for s, p in (("@", _AT), (".", _DOT)) for span in _with_spaces(p, text)]
     if _DIGIT.search(text):
         changes += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
         changes += [
@@ -250,11 +267,14 @@ def find(text: str | None) -> tuple[list[Span], list[Span]]:
     if not text:
         return [], []
     base = detect(text)
-    extra = [
-        (k, a, b)
-        for k, a, b in disguised(text)
-        if not any(k == kind and a < end and start < b for kind, start, end in base)
-    ]
+    # Spans of a kind do not overlap, so the last that starts before an end tells.
+    starts = {k: [x[1] for x in base if x[0] == k] for k in KINDS}
+    ends = {k: [x[2] for x in base if x[0] == k] for k in KINDS}
+    extra = []
+    for k, a, b in disguised(text):
+        before = bisect_left(starts[k], b)
+        if not before or ends[k][before - 1] <= a:
+            extra.append((k, a, b))
     return _ordered(base), _ordered(base + extra)
 
 

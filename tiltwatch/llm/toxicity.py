@@ -14,7 +14,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiltwatch.llm.common import keep, learnable
+from tiltwatch.llm.common import drawn, keep, learnable
 
 # Insults and slights, and words that address somebody.
 LEXICON = frozenset(
@@ -123,8 +123,11 @@ def text_features(text: str | None, learned: dict[bytes, float], known: dict[byt
     ]
 
 
-def featured(docs: DataFrame, learned: dict[bytes, float], id_col: str, text_col: str) -> DataFrame:
-    """``doc_id`` and one double per feature for every row."""
+def featured(
+    docs: DataFrame, learned: dict[bytes, float], id_col: str = "doc_id", text_col: str = "text",
+    others: tuple[str, ...] = (),
+) -> DataFrame:
+    """``doc_id``, one double per feature and the columns ``others`` for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,11 +135,14 @@ def featured(docs: DataFrame, learned: dict[bytes, float], id_col: str, text_col
             found = np.array([text_features(t.as_py(), learned, known) for t in batch.column(1)])
             found = found.reshape(-1, len(FEATURES))
             columns = [pa.array(found[:, i]) for i in range(len(FEATURES))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *FEATURES])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns, *batch.columns[2:]], ["doc_id", *FEATURES, *others]
+            )
 
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{c} double" for c in FEATURES))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *others)
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("doc_id", *others)}
+    kinds = {"doc_id": kinds["doc_id"]} | dict.fromkeys(FEATURES, "double") | kinds
+    return rows.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in kinds.items()))
 
 
 @dataclass
@@ -169,10 +175,11 @@ def _raw(trees: GBTClassificationModel, rows: DataFrame) -> DataFrame:
 def sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int, seed: int
 ) -> tuple[DataFrame | None, float]:
-    """About ``fit_rows`` labelled rows that are not held out, and the share of label 1 among all such.
+    """At most ``fit_rows`` labelled rows that are not held out, and the share of label 1 among all such.
 
     ``doc_id, text, label, part``, drawn by a hash of the id and written once.
-    Of several labels of an id the highest counts. None without both labels.
+    Of several labels of an id the highest counts, of several rows the text
+    with the least hash. None without both labels.
     """
     marks = (
         labels.filter(learnable(F.col(id_col)) & F.col(label_col).isNotNull())
@@ -181,14 +188,18 @@ def sample(
     total, ones = marks.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not total or ones in (0, total):
         return None, ones / total if total else 0.0
-    drawn = F.pmod(F.xxhash64(F.lit(f"fit-{seed}"), "doc_id"), F.lit(1_000_000)) < int(
-        min(1.0, fit_rows / total) * 1_000_000
+    # Ids first, a fifth more than wanted by hash, so that neither all ids nor any text is sorted.
+    enough = drawn(f"fit-{seed}", F.col("doc_id"), 1.2 * fit_rows / total)
+    ids = keep(
+        marks.filter(enough).orderBy(F.xxhash64(F.lit(f"fit-{seed}"), "doc_id"), "doc_id").limit(fit_rows),
+        "toxicity-ids",
     )
-    # Both sides are thinned first, so few texts move.
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).filter(drawn)
-    rows = rows.join(marks.filter(drawn), "doc_id").withColumn(
-        "part", F.pmod(F.xxhash64(F.lit(f"part-{seed}"), "doc_id"), F.lit(4))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).filter(enough)
+    # Rows of an id are told apart by their text alone; tasks find the least hash before anything moves.
+    rows = rows.join(ids, "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64(F.coalesce("text", F.lit(""))), "text")).alias("text")
     )
+    rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit(f"part-{seed}"), "doc_id"), F.lit(4)))
     return keep(rows.repartition(8).sortWithinPartitions("doc_id"), "toxicity-rows"), ones / total
 
 
@@ -224,18 +235,17 @@ def learn_terms(rows: DataFrame, terms: int = 400, least: int = 8, odds: float =
     return {bytes(r["term"]): r["score"] for r in found.collect()}  # `terms` rows at most
 
 
-def fit(features: DataFrame, rows: DataFrame | None, rate: float, trees: int, depth: int, seed: int) -> ToxicityModel:
+def fit(
+    rows: DataFrame | None, learned: dict[bytes, float], rate: float, trees: int, depth: int, seed: int
+) -> ToxicityModel:
     """Trees from three quarters of the drawn rows, calibrated on the rest, which they have not seen.
 
     With labels of one kind, or none, the score is the share of label 1.
     """
     if rows is None:
         return ToxicityModel(None, None, rate)
-    marked = keep(
-        features.join(rows.select("doc_id", "label", "part"), "doc_id")
-        .repartition(4).sortWithinPartitions("doc_id"),
-        "toxicity-features",
-    )
+    marked = featured(rows, learned, others=("label", "part"))
+    marked = keep(marked.repartition(4).sortWithinPartitions("doc_id"), "toxicity-features")
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="__vector").transform(marked)
     grow, rest = vectors.filter("part != 0"), vectors.filter("part = 0")
     if grow.select("label").distinct().count() < 2:
@@ -265,9 +275,9 @@ def toxicity(
     Features are read off the whole text: densities of insults, from a fixed
     list and from terms learned on the labelled rows, how near they stand to
     somebody addressed, capitals, punctuation, and masked, spaced or stretched
-    spellings. Terms, trees and calibration are learned from about
-    ``fit_rows`` labelled rows that are not held out; a quarter of them serves
-    calibration only. Features are written once for fitting and scoring.
+    spellings. Terms, trees and calibration are learned from at most
+    ``fit_rows`` labelled ids that are not held out, one row each; a quarter
+    of them serves calibration only.
 
     NULL and blank texts have zero features and are scored like any other.
     Repeated rows each get a row; NULL ids are scored but not learned from.
@@ -275,5 +285,5 @@ def toxicity(
     """
     rows, rate = sample(docs, labels, id_col, text_col, label_col, fit_rows, seed)
     learned = {} if rows is None else learn_terms(rows.filter("part != 0"))
-    features = keep(featured(docs, learned, id_col, text_col), "features")
-    return fit(features, rows, rate, trees, depth, seed).score(features)
+    model = fit(rows, learned, rate, trees, depth, seed)
+    return model.score(featured(docs, learned, id_col, text_col))
