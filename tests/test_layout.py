@@ -1,0 +1,164 @@
+"""Compaction without a shuffle, clustering along a curve, CSV files read block by block."""
+
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from tiltwatch import schemas
+from tiltwatch.sources import layout
+from tiltwatch.sources.csv import load_csv
+from tiltwatch.sources.split_csv import load_split_csv
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files(folder):
+    return sorted(str(p) for p in folder.glob("*.parquet"))
+
+
+# --- Compaction ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("wanted", [1, 3, 8])
+def test_compaction_packs_files_without_a_shuffle(spark, tmp_path, wanted):
+    for i in range(40):  # one to forty thousand rows, one file without any
+        spark.range(i * 1_000).select("id", (F.col("id") % 7).alias("x")).coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "in")
+        )
+    size = layout.folder_bytes(spark, str(tmp_path / "in"))
+    file_bytes = -(-size // wanted)
+    laid_out = layout._laid_out(spark, str(tmp_path / "in"), False, str(tmp_path / "in"), (), file_bytes, False)
+    assert "Exchange" not in plan(laid_out) and "Coalesce" in plan(laid_out)
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), file_bytes=file_bytes)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert abs(len(out.inputFiles()) - wanted) <= 1
+    assert out.agg(F.count("*"), F.sum("id")).first() == spark.read.parquet(str(tmp_path / "in")).agg(
+        F.count("*"), F.sum("id")
+    ).first()
+
+
+def test_compaction_cuts_large_files(spark, tmp_path):
+    spark.conf.set("parquet.block.size", "20000")
+    try:
+        spark.range(100_000).select(F.rand(1).alias("x")).coalesce(1).write.option("parquet.block.size", 50_000).parquet(
+            str(tmp_path / "in")
+        )
+    finally:
+        spark.conf.unset("parquet.block.size")
+    size = layout.folder_bytes(spark, str(tmp_path / "in"))
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), file_bytes=size // 4 + 1)
+    assert 3 <= len(files(tmp_path / "out")) <= 5
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100_000
+
+
+def test_scan_settings_stay_with_the_caller(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    own = layout.scan_session(spark, 1234)
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == "1234"
+    assert {k: spark.conf.get(k) for k in before} == before
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+
+
+# --- Curve -----------------------------------------------------------------------------------
+
+
+def row_groups_met(folder, column, low, high):
+    met = 0
+    for file in files(folder):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.to_arrow_schema().names.index(column)
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(at).statistics
+            met += s.min <= high and s.max >= low
+    return met
+
+
+def test_curve_narrows_either_column(spark, tmp_path):
+    r = random.Random(2)
+    data = [(r.randrange(1000), int(r.expovariate(1 / 500)), f"k{r.randrange(300):03d}") for _ in range(40_000)]
+    data += [(5, 5, "k005")] * 20_000  # a third of all rows alike
+    spark.createDataFrame(data, "a int, b int, s string").write.parquet(str(tmp_path / "in"))
+    size = layout.folder_bytes(spark, str(tmp_path / "in"))
+    for name, columns, by_curve in (("one", ["a"], False), ("ab", ["a", "b"], True), ("as", ["a", "s"], True)):
+        layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / name), columns, size // 64, by_curve)
+        assert rows(spark.read.parquet(str(tmp_path / name))) == sorted(data, key=str)
+    one, ab, by_text = tmp_path / "one", tmp_path / "ab", tmp_path / "as"
+    assert 2 * row_groups_met(ab, "b", 800, 830) < row_groups_met(one, "b", 800, 830)
+    assert 3 * row_groups_met(ab, "a", 700, 710) < len(files(ab))
+    assert 2 * row_groups_met(by_text, "s", "k100", "k103") < row_groups_met(one, "s", "k100", "k103")
+    assert max(pq.ParquetFile(f).metadata.num_rows for f in files(ab)) < 6_000  # the hot rows are spread
+
+
+def test_curve_of_odd_values(spark):
+    data = [(None, None, None, None, True), (float("nan"), "", 1, None, False), (1.0, "ä" * 9, 2, None, None), (-1.0, "b", 3, None, True)]
+    df = spark.createDataFrame(data, "d double, s string, n int, e int, t boolean").withColumn("day", F.date_add(F.lit("2020-01-01").cast("date"), F.col("n")))
+    places = df.select("n", layout.curve(df, ["d", "s", "n", "e", "t", "day"]).alias("p")).collect()
+    assert all(r["p"] >= 0 for r in places) and len(places) == 4
+    assert df.limit(0).select(layout.curve(df.limit(0), ["n"])).count() == 0
+    with pytest.raises(ValueError):
+        layout.curve(df, [])
+    one = spark.range(5000).withColumn("x", F.col("id") * 3)
+    order = one.select("id", layout.curve(one, ["x"]).alias("p")).orderBy("p", "id").collect()
+    assert [r["id"] for r in order] == list(range(5000))  # along one column, the curve is its order
+
+
+# --- CSV by blocks ---------------------------------------------------------------------------
+
+CELLS = ["", '""', '"a ""q"" b"', '"line1\nline2\n\nline4"', '"x\r\ny"', '"' + 'long,"" \n' * 30 + '"', "plain's", '"\n"', '"äöü,😀"', "7"]
+
+
+def write(path, end, n=250, seed=1, header='id,"t,x",c'):
+    r = random.Random(seed)
+    lines = [f"{i},{r.choice(CELLS)},{r.choice(CELLS)}{end}" for i in range(n)]
+    path.write_text(header + end + "".join(lines), newline="")
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("split", [1 << 27, 4001, 1500])
+def test_split_csv_like_whole(spark, tmp_path, end, split):
+    write(tmp_path / "a.csv", end)
+    want = load_csv(spark, str(tmp_path / "a.csv"))
+    found = load_split_csv(spark, str(tmp_path / "a.csv"), split_bytes=split)
+    assert found.columns == want.columns
+    assert rows(found) == rows(want) and found.count() == 250
+
+
+def test_split_csv_at_every_edge(spark, tmp_path):
+    """Whatever byte a block ends on: within quotes, between two quotes, before or after a line break."""
+    text = 'id,t\n1,"a""b\n""c"\n\n2,""\n3,"\n\n"\n4,"x"\n'
+    (tmp_path / "a.csv").write_text(text, newline="")
+    want = rows(load_csv(spark, str(tmp_path / "a.csv")))
+    assert len(want) == 4
+    for split in (9, 13, 17, 21, 25, 31):
+        assert rows(load_split_csv(spark, str(tmp_path / "a.csv"), split_bytes=split)) == want, split
+
+
+def test_split_csv_uses_several_tasks_and_files(spark, tmp_path):
+    for i in range(3):
+        write(tmp_path / f"{i}.csv", "\n", 200, i, "id,text,n")
+    types = schemas.StructType([schemas.StructField("ID", schemas.LongType())])
+    found = load_split_csv(spark, str(tmp_path), types, split_bytes=3000)
+    assert dict(found.dtypes) == {"id": "bigint", "text": "string", "n": "string"}
+    parts = found.select(F.spark_partition_id()).distinct().count()
+    assert parts > 6 and rows(found) == rows(load_csv(spark, str(tmp_path), types))
+
+
+def test_split_csv_refuses_what_it_cannot_tell(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,t\n1,"open\n2,x\n')
+    with pytest.raises(Exception, match="never closed"):
+        load_split_csv(spark, str(tmp_path / "a.csv")).collect()
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "1.csv").write_text("id,t\n1,x\n")
+    (tmp_path / "b" / "2.csv").write_text("t,id\nx,1\n")
+    with pytest.raises(Exception, match="header"):
+        load_split_csv(spark, str(tmp_path / "b")).collect()
+    (tmp_path / "c.csv").write_text("id,t\n")
+    assert load_split_csv(spark, str(tmp_path / "c.csv")).collect() == []

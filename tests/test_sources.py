@@ -8,7 +8,8 @@ from tiltwatch import schemas
 from tiltwatch.config import Settings, work_folder
 from tiltwatch.plans import reports as R
 from tiltwatch.sources import layout, tables
-from tiltwatch.sources.csv import load_all, load_csv, write_csv
+from tiltwatch.sources.csv import load_csv, write_csv
+from tiltwatch.sources.split_csv import load_all, load_split_csv
 
 
 @pytest.fixture(scope="module")

@@ -19,11 +19,14 @@ from tiltwatch.operators.range_counts import range_counts
 from tiltwatch.plans import documents as D
 from tiltwatch.plans import elementary as E
 from tiltwatch.plans import reports as R
+from tiltwatch.plans.gold import GoldStates
 from tiltwatch.functions.split import hash_split
 from tiltwatch.sources import star
 from tiltwatch.sources.csv import load_csv, write_csv
 from tiltwatch.sources.layout import compact_files
+from tiltwatch.sources.split_csv import load_split_csv
 from tiltwatch.sources.tables import append_evolving, ensure_database, save_gold, save_table
+from tiltwatch.streaming.batches import BatchTarget, score_into_batches
 from tiltwatch.streaming.scoring import StreamTarget, score, score_stream, score_table, wait
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +148,14 @@ def csv_documents(spark: SparkSession, folder: str) -> DataFrame:
     return load_csv(spark, target, documents.schema)
 
 
+def split_csv_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every block of a mebibyte read by a task of its own."""
+    documents = star.read(spark, folder, "documents").select("doc_id", "text", "lang", "n_chars")
+    target = work_folder(spark, "csv")
+    write_csv(documents, target)
+    return load_split_csv(spark, target, documents.schema, split_bytes=1 << 20)
+
+
 def _work_database(spark: SparkSession) -> str:
     """A new database in the shared work folder, for queries that need named tables."""
     name = f"tiltwatch_{uuid.uuid4().hex[:12]}"
@@ -195,6 +206,24 @@ def stream_widened(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(spark.table(target.table), "lang")
 
 
+def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents streamed in batches into a target that is compacted between and after the runs."""
+    database = _work_database(spark)
+    source = f"{database}.chat"
+    documents = star.read(spark, folder, "documents")
+    short = F.coalesce(F.col("n_chars") < 1000, F.lit(True))
+    columns = ["doc_id", F.col("text").alias("key")]
+    save_table(documents.filter(short).select(*columns).repartition(3), source)
+    target = BatchTarget(work_folder(spark, "batches"), work_folder(spark, "checkpoint"))
+    wait(score_into_batches(spark, source, target, D.word_model(), files_per_batch=1))
+    target.compact(spark)
+    append_evolving(spark, documents.filter(~short).select(*columns), source)
+    wait(score_into_batches(spark, source, target, D.word_model()))
+    target.compact(spark, whole=True)
+    target.clean(spark)
+    return _shown(target.read(spark))
+
+
 def registered_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """A registered model loaded again scores one table into another, which is read back."""
     database = _work_database(spark)
@@ -219,6 +248,23 @@ def gold_messages_per_label(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table)
 
 
+def incremental_match_share(spark: SparkSession, folder: str) -> DataFrame:
+    """Scored chat streamed in batches, folded as it comes in, compacted and folded on; the report is read off the folds."""
+    chat = star.chat_pred(spark, folder).select("match_id", "slot", "time", "comment_text", "predicted")
+    source = f"{_work_database(spark)}.chat"
+    target = BatchTarget(work_folder(spark, "batches"), work_folder(spark, "checkpoint"))
+    states = GoldStates(work_folder(spark, "states"))
+    for early in (True, False):
+        append_evolving(spark, chat.filter((F.col("time") < 600) == F.lit(early)).repartition(3), source)
+        new = spark.readStream.option("maxFilesPerTrigger", 2).table(source)
+        stream = new.writeStream.foreachBatch(target.write_batch).trigger(availableNow=True)
+        wait(stream.option("checkpointLocation", target.checkpoint).start())
+        states.update(spark, target)
+        states.merge(spark)
+        target.compact(spark)
+    return states.match_share_per_label(spark)
+
+
 def widened_union(spark: SparkSession, folder: str) -> DataFrame:
     """Lobby messages without a unit column joined on by the later, wider ones."""
     chat = star.chat(spark, folder)
@@ -231,12 +277,12 @@ def widened_union(spark: SparkSession, folder: str) -> DataFrame:
 LOOSE_FILES = 64
 
 
-def _compacted(cluster_by: tuple[str, ...]) -> Query:
+def _compacted(cluster_by: tuple[str, ...], by_curve: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         chat = star.chat_pred(spark, folder).select("match_id", "slot", "time", "predicted")
         loose, tight = work_folder(spark, "loose"), work_folder(spark, "tight")
         chat.repartition(LOOSE_FILES).write.parquet(loose)
-        compact_files(spark, loose, tight, cluster_by)
+        compact_files(spark, loose, tight, cluster_by, by_curve=by_curve)
         return R.match_share_per_label(spark.read.parquet(tight))
 
     return query
@@ -343,15 +389,19 @@ def all_queries() -> dict[str, Query]:
         # Sources, sinks, streams and layout
         "sql_table_scan": sql_table_scan,
         "csv_documents": csv_documents,
+        "split_csv_documents": split_csv_documents,
         "batch_scoring": batch_scoring,
         "stream_scoring": stream_scoring,
+        "stream_compacted": stream_compacted,
         "stream_widened": stream_widened,
         "registered_scoring": registered_scoring,
         "repartitioned_scoring": repartitioned_scoring,
         "gold_messages_per_label": gold_messages_per_label,
+        "incremental_match_share": incremental_match_share,
         "widened_union": widened_union,
         "compacted_match_share": _compacted(()),
         "clustered_match_share": _compacted(("match_id",)),
+        "zordered_match_share": _compacted(("match_id", "time"), by_curve=True),
         # Projections
         "select_all": _on_game(E.select_all),
         "select_expressions": _on_game(E.select_expressions),

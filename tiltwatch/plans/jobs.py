@@ -13,9 +13,11 @@ from tiltwatch.models.classifier import fit_report, text_classifier
 from tiltwatch.models.tracking import Run, load_model, register_model
 from tiltwatch.operators.metrics import document_scores
 from tiltwatch.plans import reports as R
+from tiltwatch.plans.gold import GoldStates
 from tiltwatch.schemas import TABLES
-from tiltwatch.sources.csv import load_all
+from tiltwatch.sources.split_csv import load_all
 from tiltwatch.sources.tables import ensure_database, save_gold, save_table
+from tiltwatch.streaming.batches import BatchTarget, score_into_batches
 from tiltwatch.streaming.scoring import StreamTarget, score, score_stream, score_table
 
 SCORED = "toxicity_chat_pred"
@@ -85,13 +87,18 @@ def score_batch(
 def score_new(
     spark: SparkSession,
     settings: Settings,
-    target: StreamTarget,
+    target: StreamTarget | BatchTarget,
     stage: str | None = None,
     files_per_batch: int | None = None,
 ):
-    """Score the chat that came in since the last call; returns the streaming query."""
+    """Score the chat that came in since the last call; returns the streaming query.
+
+    A :class:`BatchTarget` can be compacted at any time and feeds :func:`publish_new`.
+    """
     model = load_model(spark, settings.model_name, settings.table(REGISTRY), stage)
     source = settings.table(TABLES["chat"])
+    if isinstance(target, BatchTarget):
+        return score_into_batches(spark, source, target, model, files_per_batch=files_per_batch)
     return score_stream(spark, source, target, model, files_per_batch=files_per_batch)
 
 
@@ -136,8 +143,32 @@ def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> li
     that join it to players from a second one, folded to one row per seat. Both
     results and the list of hot keys are kept while the tables are written.
     """
-    wanted = reports(spark, settings, scored)
     chat = spark.table(settings.table(scored))
+    own = {name: reports(spark, settings, scored)[name] for name in ("label_count_histogram", "match_share_per_label")}
+    return _save_reports(spark, settings, own, R.message_counts(chat), R.seat_fold(chat))
+
+
+def publish_new(spark: SparkSession, settings: Settings, chat: BatchTarget, states: GoldStates) -> list[str]:
+    """Bring the same gold tables up to date, reading only the chat that came in since the last call.
+
+    ``chat`` is the target of a stream of scored messages, ``states`` holds what
+    was folded of it so far. Players, matches and regions are read as they are now.
+    """
+    states.update(spark, chat)
+    states.merge(spark)
+    own = {
+        "label_count_histogram": states.label_count_histogram(spark),
+        "match_share_per_label": states.match_share_per_label(spark),
+    }
+    saved = _save_reports(spark, settings, own, states.total(spark, "counts"), states.total(spark, "seats"))
+    states.clean(spark)
+    return saved
+
+
+def _save_reports(
+    spark: SparkSession, settings: Settings, own: dict[str, DataFrame], counts: DataFrame, seats: DataFrame
+) -> list[str]:
+    """All reports as gold tables: those given, those in the message counts, and those that join seats to players."""
     players = spark.table(settings.table(TABLES["players"]))
     matches = spark.table(settings.table(TABLES["match"]))
     regions = spark.table(settings.table(TABLES["cluster_regions"]))
@@ -148,12 +179,13 @@ def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> li
         return kept[-1]
 
     try:
-        counted = keep(R.message_counts(chat))
+        wanted = dict(own)
+        counted = keep(counts)
         for name, columns in _COUNTED.items():
             rows = counted.filter(F.col("report") == name)
             wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
         hot = R.HotKeys(*map(keep, R.hot_players(players)))
-        wanted |= R.join_reports(keep(R.seat_fold(chat)), players, matches, regions, hot)
+        wanted |= R.join_reports(keep(seats), players, matches, regions, hot)
         saved = []
         for name, report in wanted.items():
             table = settings.table(f"gold_{name}")

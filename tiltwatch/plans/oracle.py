@@ -281,8 +281,10 @@ def all_sql() -> dict[str, str]:
             USING (cluster) GROUP BY region""",
         ),
         "csv_documents": "SELECT doc_id, text, lang, n_chars FROM documents",
+        "split_csv_documents": "SELECT doc_id, text, lang, n_chars FROM documents",
         "batch_scoring": _SCORED,
         "stream_scoring": _SCORED,
+        "stream_compacted": _SCORED,
         "stream_widened": f"""SELECT scored.*, CASE WHEN documents.n_chars >= 1000 THEN lang END AS lang
             FROM ({_SCORED}) scored JOIN documents USING (doc_id)""",
         "registered_scoring": _SCORED,
@@ -306,6 +308,8 @@ def all_sql() -> dict[str, str]:
         ),
         "compacted_match_share": _with("chat", _MATCH_SHARE),
         "clustered_match_share": _with("chat", _MATCH_SHARE),
+        "zordered_match_share": _with("chat", _MATCH_SHARE),
+        "incremental_match_share": _with("chat", _MATCH_SHARE),
         # Projections
         "select_all": _with("matches", "SELECT * FROM matches"),
         "select_expressions": _with(

@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tiltwatch.schemas import MULTI_LINE, TABLES, TYPES
-from tiltwatch.sources.tables import save_table
-
 # Quotes inside a quoted field are doubled, and a field may span lines.
 OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -28,13 +23,19 @@ def load_csv(
     than becoming NULL, given ANSI mode, Spark's default. Files read together
     must have the same header: one that differs in names or order fails the job.
 
-    A file whose quoted fields may hold line breaks cannot be split, so one file
-    is one task: pass a folder of files to load in parallel. Files known to have
+    A file whose quoted fields may hold line breaks is not split here, so one file
+    is one task; :func:`tiltwatch.sources.split_csv.load_split_csv` reads the
+    same in parallel. Files known to have
     no such field are split like any text with ``multi_line`` off.
     """
     # Spark takes the names from one file; without enforcing them it checks each file's own.
     checked = {"multiLine": str(multi_line).lower(), "enforceSchema": "false"}
     raw = spark.read.options(**OPTIONS, **checked).csv(path)
+    return typed(raw, types)
+
+
+def typed(raw: DataFrame, types: StructType | None) -> DataFrame:
+    """Text columns cast as ``types`` says, by name whatever its case; the others stay text."""
     kinds = {field.name.lower(): field.dataType for field in (types or [])}
     return raw.select(
         *[
@@ -50,22 +51,3 @@ def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV that ``load_csv`` reads back unchanged."""
     spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     df.write.options(**OPTIONS, **spaces).mode("errorifexists").csv(path)
-
-
-def load_all(
-    spark: SparkSession,
-    folder: str,
-    database: str,
-    files: Sequence[str] = tuple(TABLES),
-    multi_line: Collection[str] = MULTI_LINE,
-) -> list[str]:
-    """Load each named CSV under ``folder`` into its table; returns the table names.
-
-    Files not named in ``multi_line`` hold no line breaks in fields and are split.
-    """
-    names = []
-    for file in files:
-        table = f"{database}.{TABLES[file]}"
-        save_table(load_csv(spark, f"{folder}/{file}.csv", TYPES[file], file in multi_line), table)
-        names.append(table)
-    return names

@@ -1,20 +1,93 @@
-"""File layout of tables: few even files, optionally clustered by columns."""
+"""File layout of tables: few even files, optionally clustered by one column or along a curve through several."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_BYTES = 128 * 1024 * 1024
+#: A task that packs files takes about so many pieces, so that uneven files still make even tasks.
+PIECES = 4
+#: Bits of a column's rank on the curve; the bounds between ranks are 2^BITS - 1 sampled quantiles.
+BITS = 8
 
 
-def clustered(df: DataFrame, columns: Sequence[str], partitions: int) -> DataFrame:
+def scan_session(spark: SparkSession, split_bytes: int) -> SparkSession:
+    """A session like ``spark`` whose file scans have splits of ``split_bytes``, whatever the cluster's size.
+
+    Small files are packed into a split up to that size, large ones are cut.
+    The catalog is shared; the settings of ``spark`` stay as they are.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
+def _ordinal(df: DataFrame, column: str) -> Column:
+    """A number in the column's order; texts by their first seven bytes, so equal beginnings tie."""
+    kind = df.schema[column].dataType.typeName()
+    value = F.col(f"`{column}`")
+    if kind in ("string", "binary"):
+        start = F.substring(value.cast("binary"), 1, 7)
+        return F.conv(F.rpad(F.hex(start), 14, "0"), 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(value).cast("double")
+    return value.cast("int").cast("double") if kind == "boolean" else value.cast("double")
+
+
+def _step_up_to(value: Column, bounds: Column):
+    return lambda rank, step: F.when(F.element_at(bounds, rank + step) <= value, rank + step).otherwise(rank)
+
+
+def curve(df: DataFrame, columns: Sequence[str], sample_rows: int = 1_000_000) -> Column:
+    """Place of a row on a space-filling curve (Z-order) through ``columns``, as one expression.
+
+    Each column is cut at its quantiles into 2^``BITS`` ranks, so a skewed
+    column fills its ranks evenly; the ranks' bits are interleaved. Quantiles
+    come from a sample of about ``sample_rows`` rows: they decide where files
+    are cut, never what is in them. NULL and NaN rank first and last. At most seven columns.
+    """
+    if not 0 < len(columns) <= 63 // BITS:
+        raise ValueError(f"one to {63 // BITS} columns, not {len(columns)}")
+    named = {f"c{i}": _ordinal(df, c) for i, c in enumerate(columns)}
+    total = df.count()
+    sampled = df.select(*(v.alias(k) for k, v in named.items()))
+    if total > sample_rows:
+        sampled = sampled.sample(sample_rows / total, seed=7)
+    shares = [i / 2**BITS for i in range(1, 2**BITS)]
+    # Numbers on the driver: columns times 2^BITS.
+    found = sampled.select(*(F.percentile_approx(c, shares, 10_000).alias(c) for c in named)).first()
+    steps = F.array(*(F.lit(2**k) for k in reversed(range(BITS))))
+    place = F.lit(0).cast("long")
+    for i, (name, value) in enumerate(named.items()):
+        if found[name] is None:
+            continue
+        bounds = F.array(*map(F.lit, found[name]))
+        # Binary search for the number of bounds that do not exceed the value.
+        rank = F.aggregate(steps, F.lit(0), _step_up_to(value, bounds))
+        for k in range(BITS):
+            bit = F.shiftright(rank, k).bitwiseAND(F.lit(1)).cast("long")
+            place = place.bitwiseOR(F.shiftleft(bit, k * len(columns) + i))
+    return place
+
+
+def clustered(df: DataFrame, columns: Sequence[str], partitions: int, by_curve: bool = False) -> DataFrame:
     """Rows in even parts, range-partitioned and sorted by ``columns``, so scans can skip row groups.
 
-    Without columns the rows are dealt by their place in the files alone.
+    One column after the other, so that a filter on the first one skips most;
+    ``by_curve`` orders them along :func:`curve` instead, so that a filter on
+    any of them skips.
 
     ``df`` must be a plain file scan. The file position closes the sort key: it
     lets range bounds fall inside one hot value, so its rows spread over several
@@ -23,9 +96,11 @@ def clustered(df: DataFrame, columns: Sequence[str], partitions: int) -> DataFra
     positioned = df.withColumns(
         {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
     )
-    spread = positioned.repartitionByRange(partitions, *columns, "_row", "_file")
-    ordered = spread.sortWithinPartitions(*columns) if columns else spread
-    return ordered.drop("_row", "_file")
+    keys = list(columns)
+    if by_curve:
+        positioned, keys = positioned.withColumn("_place", curve(df, columns)), ["_place"]
+    spread = positioned.repartitionByRange(partitions, *keys, "_row", "_file")
+    return spread.sortWithinPartitions(*keys).drop("_row", "_file", "_place")
 
 
 def table_folder(spark: SparkSession, table: str) -> str:
@@ -44,16 +119,49 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
     return fs.getContentSummary(path).getLength()
 
 
+def file_count(spark: SparkSession, folder: str) -> int:
+    """Number of files under ``folder``, one at least."""
+    fs, path = _file_system(spark, folder)
+    return max(1, fs.getContentSummary(path).getFileCount())
+
+
 def has_stream_log(spark: SparkSession, folder: str) -> bool:
     fs, path = _file_system(spark, folder)
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata"))
 
 
+def _packing(spark: SparkSession, folders: Sequence[str], file_bytes: int) -> tuple[SparkSession, int]:
+    """A session whose scans pack the files of ``folders`` into even pieces, and the number of files wanted."""
+    size = sum(folder_bytes(spark, f) for f in folders)
+    files = max(1, -(-size // file_bytes))
+    # Files of usual size stay whole: a file has often a single row group, and a cut would leave one half without rows.
+    usual = -(-size * 6 // (5 * sum(file_count(spark, f) for f in folders)))
+    return scan_session(spark, max(1, min(file_bytes, max(-(-size // (files * PIECES)), usual)))), files
+
+
 def _laid_out(
-    spark: SparkSession, rows: DataFrame, folder: str, cluster_by: Sequence[str], file_bytes: int
+    spark: SparkSession, source: str, is_table: bool, folder: str, cluster_by: Sequence[str], file_bytes: int,
+    by_curve: bool,
 ) -> DataFrame:
-    files = max(1, -(-folder_bytes(spark, folder) // file_bytes))
-    return clustered(rows, cluster_by, files)
+    """The rows in as many partitions as files are wanted.
+
+    Without columns nothing is shuffled: each task reads some whole pieces of the old files and writes one new file.
+    """
+    if not cluster_by:
+        own, files = _packing(spark, [folder], file_bytes)
+        return (own.table(source) if is_table else own.read.parquet(source)).coalesce(files)
+    rows = spark.table(source) if is_table else spark.read.parquet(source)
+    return clustered(rows, cluster_by, max(1, -(-folder_bytes(spark, folder) // file_bytes)), by_curve)
+
+
+def compact_parts(spark: SparkSession, folders: Sequence[str], target: str, file_bytes: int = FILE_BYTES) -> None:
+    """Write the Parquet rows of several folders into few files under ``target``, in place of what is there.
+
+    Nothing is shuffled. Columns that only some folders have are NULL in the rows of the others.
+    """
+    own, files = _packing(spark, folders, file_bytes)
+    rows = own.read.option("mergeSchema", "true").parquet(*folders)
+    rows.coalesce(files).write.mode("overwrite").parquet(target)
 
 
 def compact_files(
@@ -62,10 +170,10 @@ def compact_files(
     target: str,
     cluster_by: Sequence[str] = (),
     file_bytes: int = FILE_BYTES,
+    by_curve: bool = False,
 ) -> None:
     """Write the Parquet rows of ``folder`` into few files under the new ``target``."""
-    rows = spark.read.parquet(folder)
-    laid_out = _laid_out(spark, rows, folder, cluster_by, file_bytes)
+    laid_out = _laid_out(spark, folder, False, folder, cluster_by, file_bytes, by_curve)
     laid_out.write.mode("errorifexists").parquet(target)
 
 
@@ -74,6 +182,7 @@ def compact_table(
     table: str,
     cluster_by: Sequence[str] = (),
     file_bytes: int = FILE_BYTES,
+    by_curve: bool = False,
 ) -> str:
     """Rewrite ``table`` into few files; returns the name the old copy now has.
 
@@ -81,14 +190,15 @@ def compact_table(
     a failed run leaves the table as it was; a driver lost between the two renames
     is made good by :func:`recover_table`. The old copy stays until
     :func:`drop_previous`. A table fed by a file stream is
-    refused, since its stream log lists the old files.
+    refused, since its stream log lists the old files; a stream into
+    :class:`tiltwatch.streaming.batches.BatchTarget` can be compacted while it runs.
     """
     folder = table_folder(spark, table)
     if has_stream_log(spark, folder):
         raise ValueError(f"{table} is the target of a stream and cannot be compacted")
     mark = uuid.uuid4().hex[:8]
     fresh, previous = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    laid_out = _laid_out(spark, spark.table(table), folder, cluster_by, file_bytes)
+    laid_out = _laid_out(spark, table, True, folder, cluster_by, file_bytes, by_curve)
     laid_out.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     try:
