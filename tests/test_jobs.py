@@ -1,8 +1,10 @@
 """From CSV files to gold tables: all jobs in a row."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS, Settings, work_folder
+from tiltwatch.models.tracking import load_model
 from tiltwatch.plans import jobs
 from tiltwatch.sources import tables
 from tiltwatch.streaming.scoring import StreamTarget, wait
@@ -68,6 +70,17 @@ def test_whole_run(spark, settings, folder):
     run = spark.table(settings.table(jobs.RUNS)).first()
     assert run["metrics"]["f1"] > 0.9 and run["params"]["penalty"] == "0.001"
 
+    chosen = {"dimensions": 1 << 10, "penalty": 0.001, "max_iter": 8}
+    second = jobs.train(spark, settings, work_folder(spark, "models"), stage="Trial", choose=True, **chosen)
+    assert second == 2
+    run = spark.table(settings.table(jobs.RUNS)).orderBy(F.desc("started")).first()
+    assert run["metrics"]["f1"] > 0.9
+    logged = {k: float(v) for k, v in run["params"].items() if k.startswith("threshold_")}
+    assert set(logged) == {f"threshold_{x}" for x in LABELS}
+    loaded = load_model(spark, settings.model_name, jobs.registry_folder(spark, settings), "Trial")
+    assembler = loaded.stages[-1].stages[-1]
+    assert dict(zip(LABELS, assembler.getOrDefault("thresholds"))) == {x: logged[f"threshold_{x}"] for x in LABELS}
+
     jobs.score_batch(spark, settings, partitions=4)
     scored = spark.table(settings.table(jobs.SCORED))
     assert scored.columns == ["match_id", "comment_text", "slot", "time", "unit", "predicted"]

@@ -1,5 +1,9 @@
 """Text stages, the multi-label classifier, run log and registry."""
 
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -7,11 +11,13 @@ from pyspark.sql import functions as F
 from tiltwatch.config import LABELS, Settings, work_folder
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
-from tiltwatch.models.classifier import fit_report, text_classifier
-from tiltwatch.models.text import sentence_encoder
-from tiltwatch.models.tracking import Run, load_model, register_model, registered_models
+from tiltwatch.models.classifier import fit_report, text_classifier, with_thresholds
+from tiltwatch.models import tracking
+from tiltwatch.models.text import learned_encoder, least_count, sentence_encoder
+from tiltwatch.models.tracking import ARCHIVED, Run, load_model, move_stage, register_model, registered_models
 from tiltwatch.operators.metrics import label_scores
-from tiltwatch.plans.documents import COMMENT_LABELS, THRESHOLDS, comment_labels
+from tiltwatch.operators.thresholds import best_thresholds, choose_thresholds, score_histogram
+from tiltwatch.plans.documents import COMMENT_LABELS, comment_labels, fit_comments
 from tiltwatch.sources import star, tables
 from tiltwatch.streaming.scoring import score
 
@@ -118,7 +124,7 @@ def small_model(training):
 
 def test_registry_and_run_log(spark, database, small_model):
     model = small_model
-    runs, models = f"{database}.model_runs", f"{database}.model_registry"
+    runs, models = f"{database}.model_runs", work_folder(spark, "models")
     assert registered_models(spark, models).count() == 0
     with Run(spark, runs, "toxicity") as run:
         run.log_param("threshold", 0.7)
@@ -139,6 +145,46 @@ def test_registry_and_run_log(spark, database, small_model):
         load_model(spark, "none", models)
 
 
+def test_drivers_that_register_at_once_get_versions_of_their_own(spark, small_model):
+    registry, root = work_folder(spark, "models"), work_folder(spark, "registry")
+    with ThreadPoolExecutor(4) as pool:
+        got = list(pool.map(lambda _: register_model(spark, small_model, "tox", registry, root), range(8)))
+    assert sorted(got) == list(range(1, 9))
+    rows = registered_models(spark, registry).collect()
+    assert sorted(r["version"] for r in rows) == list(range(1, 9)) and len({r["path"] for r in rows}) == 8
+
+
+def test_a_claim_without_a_record_is_no_version(spark, small_model):
+    registry, root = work_folder(spark, "models"), work_folder(spark, "registry")
+    assert register_model(spark, small_model, "tox", registry, root) == 1
+    assert tracking._claim(spark, f"{registry}/tox/versions") == 2  # a driver that died here
+    assert [r["version"] for r in registered_models(spark, registry).collect()] == [1]
+    assert register_model(spark, small_model, "tox", registry, root) == 3
+
+
+def test_stage_moves(spark, small_model):
+    registry, root = work_folder(spark, "models"), work_folder(spark, "registry")
+    for stage in ("Production", None, None):
+        register_model(spark, small_model, "tox", registry, root, stage=stage)
+
+    def stages():
+        return [r["stage"] for r in registered_models(spark, registry).orderBy("version").collect()]
+
+    assert stages() == ["Production", None, None]
+    move_stage(spark, "tox", registry, 2, "Production", alone=True)
+    assert stages() == [ARCHIVED, "Production", None]
+    move_stage(spark, "tox", registry, 3, "Production")
+    assert stages() == [ARCHIVED, "Production", "Production"]
+    assert load_model(spark, "tox", registry, stage="Production").uid == small_model.uid
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda v: move_stage(spark, "tox", registry, v, "Production", alone=True), (1, 2, 3)))
+    assert sorted(stages()) == [ARCHIVED, ARCHIVED, "Production"]  # whichever came last, it stands alone
+    move_stage(spark, "tox", registry, 1, None)
+    assert stages()[0] is None
+    with pytest.raises(LookupError):
+        move_stage(spark, "tox", registry, 9, "Production")
+
+
 def test_failed_run_is_logged_as_failed(spark, database):
     runs = f"{database}.failed_runs"
     with pytest.raises(ZeroDivisionError):
@@ -159,10 +205,80 @@ def test_threshold_per_label(spark, training):
     }
 
 
+def brute_threshold(rows, label, bins):
+    best = None
+    for b in range(-1, bins):
+        chosen = [truth for score, truth in rows if score > b / bins or (b < 0)]
+        right = sum(label in (t or ()) for t in chosen)
+        positives = sum(label in (t or ()) for _, t in rows)
+        f1 = 2 * right / (len(chosen) + positives) if positives else None
+        if f1 is not None and any((b < score * bins <= b + 1) for score, _ in rows) and (best is None or f1 >= best[0]):
+            best = (f1, b / bins)
+    return best
+
+
+def test_thresholds_like_brute_force(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        truth = None if i % 50 == 0 else [x for x in ("a", "b") if rng.random() < 0.4]
+        rows.append((i, [(x, min(1.0, max(0.0, rng.gauss(0.7 if x in (truth or ()) else 0.3, 0.2)))) for x in ("a", "b", "c")], truth))
+    rows += [(900, [("a", 0.0), ("b", 1.0)], ["b"]), (901, [], ["a"]), (902, None, [])]
+    df = spark.createDataFrame(rows, "id int, class array<struct<result:string,confidence:double>>, labels array<string>")
+    found = best_thresholds(score_histogram(df, F.col("class"), F.col("labels"), ("a", "b", "c"), 50), 50).collect()
+    assert {r["label"] for r in found} == {"a", "b"}  # nothing carries c
+    for r in found:
+        scores = [(dict((x[0], x[1]) for x in c or ()).get(r["label"], 0.0), t) for _, c, t in rows]
+        f1, threshold = brute_threshold(scores, r["label"], 50)
+        assert r["f1"] == pytest.approx(f1) and r["threshold"] == pytest.approx(threshold)
+    assert choose_thresholds(df.limit(0), F.col("class"), F.col("labels"), ("a",)) == {}
+
+
+def test_chosen_thresholds_are_kept_with_the_model(spark, model):
+    changed = with_thresholds(model, {"toxic": 0.999999, "insult": -1.0})
+    path = work_folder(spark, "model")
+    changed.write().save(path)
+    texts = chat(spark, "awful", "rude")
+    for fitted in (changed, PipelineModel.load(path)):
+        assert predicted(score(texts, fitted)) == [["insult"], ["obscene", "insult"]]
+    assert predicted(score(texts, model)) == [["toxic"], ["obscene"]]  # the given model is as it was
+
+
+def test_assembled_features_carry_no_names(training):
+    fitted = text_classifier(("toxic",), dimensions=1 << 8, text_features=True, max_iter=2).fit(training)
+    features = training
+    for stage in fitted.stages[:-1]:
+        features = stage.transform(features)
+    assert features.schema["features"].metadata == {} and features.first()["features"].size == 256 + 5
+
+
+def test_learned_vectors(spark):
+    documents = star.read(spark, "/root/testdata/sf0.01", "documents").filter("lang IS NOT NULL")
+    encoder = learned_encoder(documents, "text", dimensions=32, max_words=3000)
+    words = encoder.stages[-1].getVectors()
+    assert 1000 < words.count() <= 3000
+    rows = encoder.transform(documents).select("doc_id", "lang", "universal_embeddings").collect()
+    unit = {r["doc_id"]: (r["lang"], np.array(r["universal_embeddings"])) for r in rows}
+    unit = {d: (lang, v / np.linalg.norm(v)) for d, (lang, v) in unit.items() if v.any()}
+    # Texts of a language use the same words, so their means lie together: the nearest mean tells it.
+    learn, test = ([x for d, x in unit.items() if d % 2 == k] for k in (0, 1))
+    means = {lang: np.mean([v for x, v in learn if x == lang], axis=0) for lang in {x for x, _ in learn}}
+    right = sum(max(means, key=lambda m: v @ means[m]) == lang for lang, v in test)
+    assert right > 0.95 * len(test)
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "zzzzqqq")], "id int, text string")
+    assert all(not r["universal_embeddings"].toArray().any() for r in encoder.transform(odd).collect())
+
+
+def test_least_count_bounds_the_vocabulary(spark):
+    tokens = spark.createDataFrame([(["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"],)], "token array<string>")
+    assert [least_count(tokens, n, 1) for n in (1, 2, 3, 4, 9)] == [4, 4, 2, 1, 1]
+    assert least_count(tokens, 9, 3) == 3 and least_count(tokens.limit(0), 5, 2) == 2
+
+
 def test_quality_on_labelled_documents(spark):
     comments = comment_labels(star.comments(spark, "/root/testdata/sf0.1"))
     train, validation = hash_split(comments, "doc_id")
-    fitted = text_classifier(COMMENT_LABELS, text_features=True, thresholds=THRESHOLDS).fit(train)
+    fitted = fit_comments(train)
     scores = label_scores(score(validation, fitted), "labels", "predicted", COMMENT_LABELS)
     toxic = scores.filter("label = 'toxic'").first()
     assert toxic["precision"] > 0.85 and toxic["recall"] > 0.6

@@ -33,6 +33,25 @@ def _without(*columns: str) -> Transformer:
     return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(columns)}) FROM __THIS__")
 
 
+class PlainVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Takes from a vector column the description of its entries.
+
+    An assembled vector names each of its entries in the schema, which every
+    job then carries along: with 65,536 of them a pass of the solver took five times as long.
+    """
+
+    inputCol = Param(Params._dummy(), "inputCol", "vector column", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, inputCol: str = "features"):
+        super().__init__()
+        self._setDefault(inputCol="features")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return dataset.withMetadata(self.getOrDefault(self.inputCol), {})
+
+
 class LabelAssembler(
     Transformer, DefaultParamsReadable, DefaultParamsWritable
 ):
@@ -160,6 +179,22 @@ def fit_report(model: PipelineModel, max_iter: int) -> dict[str, float]:
     return report
 
 
+def with_thresholds(model: PipelineModel, thresholds: dict[str, float]) -> PipelineModel:
+    """The same fitted pipeline with other least probabilities; labels not named keep theirs."""
+
+    def changed(stage):
+        if isinstance(stage, PipelineModel):
+            return PipelineModel([changed(s) for s in stage.stages])
+        if not isinstance(stage, LabelAssembler):
+            return stage
+        names = stage.getOrDefault(stage.labels)
+        common = stage.getOrDefault(stage.threshold)
+        least = dict.fromkeys(names, common) | dict(zip(names, stage.getOrDefault(stage.thresholds))) | thresholds
+        return LabelAssembler(labels=names, threshold=common, thresholds=[float(least[x]) for x in names])
+
+    return changed(model)
+
+
 def text_classifier(
     labels: Sequence[str] = LABELS,
     text_col: str = "comment_text",
@@ -179,6 +214,7 @@ def text_classifier(
         stages += [
             *text_feature_stages(),
             VectorAssembler(inputCols=given, outputCol="features"),
+            PlainVector(inputCol="features"),
             _without(*TEXT_FEATURES),
         ]
         settings = {"features_col": "features", "drop_features": True} | settings

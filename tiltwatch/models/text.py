@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer, SQLTransformer
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer, SQLTransformer, Word2Vec
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # Runs of letters and digits of any script are tokens.
 TOKEN_GAP = r"[^\p{L}\p{N}]+"
@@ -72,3 +74,44 @@ def sentence_encoder(
     return PipelineModel(
         [document_stage(text_col), token_stage(), *sentence_vector_stages(dimensions, dense)]
     )
+
+
+def least_count(tokens: DataFrame, max_words: int, min_count: int) -> int:
+    """The least count that at most ``max_words`` words of the column ``token`` reach, ``min_count`` at least.
+
+    Counts are added up per task before they are shuffled; only the
+    ``max_words`` + 1 largest are looked at together.
+    """
+    counts = tokens.select(F.explode("token").alias("word")).groupBy("word").count().filter(F.col("count") >= min_count)
+    top = counts.orderBy(F.desc("count")).limit(max_words + 1).agg(F.count("*").alias("n"), F.min("count").alias("least")).first()
+    return min_count if top["n"] <= max_words else top["least"] + 1
+
+
+def learned_encoder(
+    docs: DataFrame,
+    text_col: str = "comment_text",
+    dimensions: int = 64,
+    max_words: int = 20_000,
+    min_count: int = 5,
+    window: int = 5,
+    passes: int = 1,
+    partitions: int = 8,
+    seed: int = 0,
+) -> PipelineModel:
+    """Text stages whose ``universal_embeddings`` is the mean of word vectors learned from ``docs``.
+
+    Words of like neighbours get like vectors, which hashed counts cannot give. The
+    vocabulary is bounded by ``max_words``: rarer words raise the least count
+    until it holds, so the table of vectors, on the driver and in every task,
+    has ``max_words`` * ``dimensions`` floats at most. Every text is read
+    whole and adds to the counts and to the training. ``partitions`` parts are trained side by side and
+    averaged after each pass. A text without a word of the vocabulary has
+    the zero vector; NULL counts as empty. Without any frequent word there is nothing to learn, an error.
+    """
+    before = [document_stage(text_col), token_stage()]
+    tokens = PipelineModel(before).transform(docs).select("token")
+    learner = Word2Vec(
+        inputCol="token", outputCol="universal_embeddings", vectorSize=dimensions, windowSize=window,
+        minCount=least_count(tokens, max_words, min_count), maxIter=passes, numPartitions=partitions, seed=seed,
+    )
+    return PipelineModel([*before, learner.fit(tokens)])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -11,9 +12,8 @@ from pyspark.sql import functions as F
 
 from tiltwatch.config import work_folder
 from tiltwatch.functions.labels import prepare_labels
-from tiltwatch.models.classifier import text_classifier
-from tiltwatch.models.text import sentence_encoder
-from tiltwatch.models.tracking import load_model, register_model
+from tiltwatch.models.text import learned_encoder, sentence_encoder
+from tiltwatch.models.tracking import Run, load_model, move_stage, register_model, registered_models
 from tiltwatch.operators.metrics import document_scores, label_scores
 from tiltwatch.operators.range_counts import range_counts
 from tiltwatch.plans import documents as D
@@ -24,7 +24,7 @@ from tiltwatch.functions.split import hash_split
 from tiltwatch.sources import star
 from tiltwatch.sources.csv import load_csv, write_csv
 from tiltwatch.sources.layout import compact_files
-from tiltwatch.sources.split_csv import load_split_csv
+from tiltwatch.sources.split_csv import load_all, load_split_csv
 from tiltwatch.sources.tables import append_evolving, ensure_database, save_gold, save_table
 from tiltwatch.streaming.batches import BatchTarget, score_into_batches
 from tiltwatch.streaming.scoring import StreamTarget, score, score_stream, score_table, wait
@@ -227,7 +227,7 @@ def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
 def registered_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """A registered model loaded again scores one table into another, which is read back."""
     database = _work_database(spark)
-    registry = f"{database}.models"
+    registry = work_folder(spark, "registry")
     register_model(spark, D.word_model(), "words", registry, work_folder(spark, "models"))
     save_table(_messages(spark, folder), f"{database}.chat")
     model = load_model(spark, "words", registry)
@@ -297,12 +297,80 @@ def trained(spark: SparkSession, folder: str):
     key = tuple(star.state(spark, folder, name) for name in ("documents", "labels"))
     if key not in _MODELS:
         train, _ = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
-        _MODELS[key] = text_classifier(
-            D.COMMENT_LABELS, text_features=True, thresholds=D.THRESHOLDS
-        ).fit(train)
+        _MODELS[key] = D.fit_comments(train)
     return _MODELS[key]
 
 
+def learned_vector_shapes(spark: SparkSession, folder: str) -> DataFrame:
+    """Width of every document's learned vector, and whether all its entries are finite."""
+    documents = star.read(spark, folder, "documents").select("doc_id", "text")
+    key = ("vectors", star.state(spark, folder, "documents"))
+    if key not in _MODELS:
+        _MODELS[key] = learned_encoder(documents, "text")
+    vectors = _MODELS[key].transform(documents).select("doc_id", vector_to_array("universal_embeddings").alias("v"))
+    finite = F.forall("v", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return vectors.select("doc_id", F.size("v").alias("width"), finite.alias("finite"))
+
+
+def _documents_model(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """A database with a run log, and a registry with the document classifier in two versions, the first in production."""
+    database, registry = _work_database(spark), work_folder(spark, "registry")
+    root = work_folder(spark, "models")
+    for version in (1, 2):
+        with Run(spark, f"{database}.runs", "words") as run:
+            run.log_param("words", len(D.WORDS))
+            run.log_metric("documents", star.read(spark, folder, "documents").count())
+            register_model(spark, D.word_model(), "words", registry, root, run.run_id, "Production" if version == 1 else None)
+    return database, registry
+
+
+def run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Two logged runs with what they were given and what they measured."""
+    database, _ = _documents_model(spark, folder)
+    return spark.table(f"{database}.runs").select(
+        "experiment", "status", F.col("params")["words"].cast("int").alias("words"),
+        F.col("metrics")["documents"].cast("long").alias("documents"),
+        (F.col("ended") >= F.col("started")).alias("in_order"),
+    )
+
+
+def staged_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """The second version is moved to production, the first archived by that, and the model loaded by its stage scores."""
+    _, registry = _documents_model(spark, folder)
+    move_stage(spark, "words", registry, 2, "Production", alone=True)
+    stages = {r["version"]: r["stage"] for r in registered_models(spark, registry).collect()}
+    scored = _shown(score(_messages(spark, folder), load_model(spark, "words", registry, "Production")))
+    return scored.select("*", F.lit(stages[1]).alias("first_stage"), F.lit(stages[2]).alias("second_stage"))
+
+
+def fresh_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream started over: old and new target side by side hold every document once each."""
+    database = _work_database(spark)
+    source = f"{database}.chat"
+    save_table(_messages(spark, folder), source)
+    old = StreamTarget(f"{database}.scored", work_folder(spark, "checkpoint"))
+    fresh = old.fresh()
+    for target in (old, old, fresh):
+        wait(score_stream(spark, source, target, D.word_model()))
+    both = spark.table(old.table).unionByName(spark.table(fresh.table))
+    return both.groupBy("doc_id").agg(F.count("*").alias("copies"))
+
+
+def loaded_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Several files loaded into their named tables, with the rows of each."""
+    game = star.GameTables(spark, folder)
+    raw, database = work_folder(spark, "raw"), _work_database(spark)
+    given = {
+        "chat": game.chat.select("match_id", F.col("comment_text").alias("key"), "slot", "time", "unit"),
+        "players": game.players, "match": game.matches, "cluster_regions": game.cluster_regions,
+    }
+    for name, rows in given.items():
+        write_csv(rows, f"{raw}/{name}.csv")
+    tables = load_all(spark, raw, database, list(given))
+    counts = [spark.table(t).agg(F.count("*").alias("n")).select(F.lit(t.split(".")[1]).alias("loaded"), "n") for t in tables]
+    return functools.reduce(DataFrame.unionAll, counts)
+
+
 def classified_documents(spark: SparkSession, folder: str) -> DataFrame:
     """All documents labelled by the trained classifier."""
     documents = star.read(spark, folder, "documents")
@@ -386,6 +454,7 @@ def all_queries() -> dict[str, Query]:
         "classifier_label_quality": _label_quality,
         "classifier_support": classifier_support,
         "sentence_vector_norms": sentence_vector_norms,
+        "learned_vector_shapes": learned_vector_shapes,
         # Sources, sinks, streams and layout
         "sql_table_scan": sql_table_scan,
         "csv_documents": csv_documents,
@@ -395,6 +464,10 @@ def all_queries() -> dict[str, Query]:
         "stream_compacted": stream_compacted,
         "stream_widened": stream_widened,
         "registered_scoring": registered_scoring,
+        "staged_scoring": staged_scoring,
+        "run_log": run_log,
+        "fresh_stream": fresh_stream,
+        "loaded_tables": loaded_tables,
         "repartitioned_scoring": repartitioned_scoring,
         "gold_messages_per_label": gold_messages_per_label,
         "incremental_match_share": incremental_match_share,

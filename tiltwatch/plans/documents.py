@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiltwatch.functions.labels import label_set, label_vector, prepare_labels
-from tiltwatch.functions.split import split_part
+from tiltwatch.functions.split import hash_split, split_part
+from tiltwatch.models.classifier import text_classifier, with_thresholds
 from tiltwatch.models.text import document_stage, token_stage
 from tiltwatch.operators.metrics import document_scores, label_scores, macro_f1
+from tiltwatch.operators.thresholds import choose_thresholds
 from tiltwatch.plans.reports import training_preview
 
 COMMENT_LABELS = ("toxic", "low_quality")
-#: Low quality shows less plainly in words than insults do.
-THRESHOLDS = {"toxic": 0.7, "low_quality": 0.5}
 
 # Words that stand in for a classifier where results must be exact.
 WORDS = (
@@ -41,6 +41,14 @@ def comment_labels(comments: DataFrame) -> DataFrame:
     return prepare_labels(comments, COMMENT_LABELS)
 
 
+def fit_comments(comments: DataFrame) -> PipelineModel:
+    """The document classifier, each label's threshold chosen on a sixth of ``comments`` that the fit leaves out."""
+    fitting, choosing = hash_split(comments, "doc_id", (5, 1), salt="thresholds")
+    model = text_classifier(COMMENT_LABELS, text_features=True).fit(fitting)
+    scored = with_thresholds(model, dict.fromkeys(COMMENT_LABELS, -1.0)).transform(choosing)
+    return with_thresholds(model, choose_thresholds(scored, F.col("class"), F.col("labels"), COMMENT_LABELS))
+
+
 def first_comments(
     texts: DataFrame, flags: DataFrame, rows: int, toxic: int | None = None
 ) -> DataFrame:

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS, Settings
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
-from tiltwatch.models.classifier import fit_report, text_classifier
+from tiltwatch.models.classifier import fit_report, text_classifier, with_thresholds
 from tiltwatch.models.tracking import Run, load_model, register_model
 from tiltwatch.operators.metrics import document_scores
+from tiltwatch.operators.thresholds import choose_thresholds
 from tiltwatch.plans import reports as R
 from tiltwatch.plans.gold import GoldStates
 from tiltwatch.schemas import TABLES
@@ -31,18 +33,43 @@ def load(spark: SparkSession, settings: Settings, folder: str) -> list[str]:
     return load_all(spark, folder, settings.database)
 
 
+def registry_folder(spark: SparkSession, settings: Settings) -> str:
+    """The model registry lies beside the tables of the database."""
+    rows = spark.sql(f"DESCRIBE DATABASE `{settings.database}`").filter("info_name = 'Location'")
+    return f"{rows.select('info_value').first()[0].rstrip('/')}/_{REGISTRY}"
+
+
+def _fitted(pipeline: Pipeline, fitting: DataFrame, choosing: DataFrame | None) -> tuple[PipelineModel, dict[str, float]]:
+    """The fitted pipeline, with thresholds chosen on rows it has not seen if there are any."""
+    model = pipeline.fit(fitting)
+    if choosing is None:
+        return model, {}
+    open_model = with_thresholds(model, dict.fromkeys(LABELS, -1.0))
+    scored = open_model.transform(choosing.withColumnRenamed("key", "comment_text"))
+    chosen = choose_thresholds(scored, F.col("class"), F.col("labels"), LABELS)
+    return with_thresholds(model, chosen), chosen
+
+
 def train(
     spark: SparkSession,
     settings: Settings,
     model_root: str,
     stage: str | None = None,
     drop_unlabelled: bool = False,
+    choose: bool = False,
     **model_settings,
 ) -> int:
-    """Fit on 80 % of the comments, measure on the rest, register; returns the version."""
+    """Fit on 80 % of the comments, measure on the rest, register; returns the version.
+
+    ``choose`` takes each label's threshold from the scores of an eighth of
+    the 80 %, which the fit then leaves out; they are logged as parameters and loaded with the model.
+    """
     comments = spark.table(settings.table(TABLES["train"]))
     prepared = prepare_labels(comments, LABELS, drop_unlabelled)
-    fitting, validation = hash_split(prepared, "id", (0.8, 0.2))
+    if choose:
+        fitting, choosing, validation = hash_split(prepared, "id", (0.7, 0.1, 0.2))
+    else:
+        (fitting, validation), choosing = hash_split(prepared, "id", (0.8, 0.2)), None
     with Run(spark, settings.table(RUNS), settings.model_name) as run:
         pipeline = text_classifier(LABELS, **model_settings)
         # What holds, given or by default.
@@ -53,7 +80,9 @@ def train(
             if isinstance(value, (bool, int, float, str)) and not name.startswith("_"):
                 run.log_param(name, value)
         run.log_param("labels", ",".join(LABELS))
-        model = pipeline.fit(fitting)
+        model, chosen = _fitted(pipeline, fitting, choosing)
+        for label, threshold in chosen.items():
+            run.log_param(f"threshold_{label}", threshold)
         for name, value in fit_report(model, pipeline.getStages()[-1].max_iter).items():
             run.log_metric(name, value)
         scored = score(validation, model)
@@ -65,7 +94,7 @@ def train(
             spark,
             model,
             settings.model_name,
-            settings.table(REGISTRY),
+            registry_folder(spark, settings),
             model_root,
             run.run_id,
             stage,
@@ -79,7 +108,7 @@ def score_batch(
     partitions: int | None = None,
 ) -> None:
     """Score all chat with the newest model."""
-    model = load_model(spark, settings.model_name, settings.table(REGISTRY), stage)
+    model = load_model(spark, settings.model_name, registry_folder(spark, settings), stage)
     source, target = settings.table(TABLES["chat"]), settings.table(SCORED)
     score_table(spark, source, target, model, partitions)
 
@@ -95,7 +124,7 @@ def score_new(
 
     A :class:`BatchTarget` can be compacted at any time and feeds :func:`publish_new`.
     """
-    model = load_model(spark, settings.model_name, settings.table(REGISTRY), stage)
+    model = load_model(spark, settings.model_name, registry_folder(spark, settings), stage)
     source = settings.table(TABLES["chat"])
     if isinstance(target, BatchTarget):
         return score_into_batches(spark, source, target, model, files_per_batch=files_per_batch)

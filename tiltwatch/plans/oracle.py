@@ -288,6 +288,18 @@ def all_sql() -> dict[str, str]:
         "stream_widened": f"""SELECT scored.*, CASE WHEN documents.n_chars >= 1000 THEN lang END AS lang
             FROM ({_SCORED}) scored JOIN documents USING (doc_id)""",
         "registered_scoring": _SCORED,
+        "staged_scoring": f"SELECT *, 'Archived' AS first_stage, 'Production' AS second_stage FROM ({_SCORED})",
+        "run_log": """SELECT 'words' AS experiment, 'finished' AS status, 10 AS words,
+            (SELECT count(*) FROM documents) AS documents, true AS in_order FROM range(2)""",
+        "fresh_stream": "SELECT doc_id, 2 * count(*) AS copies FROM documents GROUP BY doc_id",
+        "loaded_tables": _with(
+            "chat players matches cluster_regions",
+            """SELECT 'toxicity_chat' AS loaded, count(*) AS n FROM chat
+            UNION ALL SELECT 'toxicity_players', count(*) FROM players
+            UNION ALL SELECT 'toxicity_match', count(*) FROM matches
+            UNION ALL SELECT 'toxicity_cluster_regions', count(*) FROM cluster_regions""",
+        ),
+        "learned_vector_shapes": "SELECT doc_id, 64 AS width, true AS finite FROM documents",
         "repartitioned_scoring": _SCORED,
         "gold_messages_per_label": _with("chat", _label_union("count(*) AS message_count")),
         "sentence_vector_norms": r"""SELECT doc_id, 512 AS width,
