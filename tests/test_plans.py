@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tiltwatch.config import work_folder
+from tiltwatch.operators.range_counts import range_counts
 from tiltwatch.plans import documents as D
 from tiltwatch.plans import elementary as E
 from tiltwatch.plans import reports as R
@@ -84,6 +85,26 @@ def test_join_reports_read_the_chat_in_one_fold(spark, chat):
             df.unpersist()
 
 
+def test_range_counts_read_the_values_once(spark, chat):
+    ranges = E.time_ranges(spark)
+    text = plan(range_counts(chat.filter(F.col("comment_text").isNotNull()), "time", ranges))
+    assert len(scans(text)) == 1
+
+
+@pytest.mark.parametrize("name", ["region_activity", "region_activity_authored", "toxic_regions", "toxic_regions_authored", "messages_per_account", "toxic_players"])
+def test_a_join_report_reads_chat_and_players_once(spark, chat, name):
+    """Beside the one look for hot keys, of which these players have none."""
+    game = star.GameTables(spark, FOLDER)
+    path = work_folder(spark, "players")
+    game.players.write.parquet(path)
+    players = spark.read.parquet(path)
+    more = () if name in ("messages_per_account", "toxic_players") else (game.matches, game.cluster_regions)
+    read = scans(plan(getattr(R, name)(chat, players, *more, hot_share=0.5)))
+    assert sum("account_id" in columns for columns in read) == 1
+    assert sum(bool(columns & {"slot", "predicted", "comment_text"}) for columns in read) == 1
+    assert not any(columns <= {"match_id", "player_slot"} for columns in read)
+
+
 def test_filters_reach_the_scan(chat):
     text = plan(chat.filter(F.col("time").between(300, 600)).select("match_id"))
     assert "GreaterThanOrEqual(time,300)" in text and "LessThanOrEqual(time,600)" in text
@@ -107,7 +128,7 @@ def test_word_predictions_do_not_shuffle_text(spark):
             assert "text" not in line
 
 
-@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"stream_scoring"}))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - {"stream_scoring", "split_csv_documents"}))
 def test_no_python_worker_and_no_cross_join(spark, name):
     text = plan(all_queries()[name](spark, FOLDER))
     for operator in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "NestedLoop"):

@@ -18,7 +18,7 @@ def range_counts(
 
     Ranges may overlap; a NULL end is open; a range without values keeps its row
     with 0. Values fold to one row per distinct value first. Both sides are then
-    cut into bins of ``bin_width``, or wider where the extent of the values would
+    cut into bins of ``bin_width``, or wider where the extent of the ranges' ends would
     take more than ``bins``, so the join is an equi-join, which Catalyst may
     broadcast or shuffle by size, and no pair outside a shared bin is formed.
     Results depend on neither.
@@ -28,12 +28,12 @@ def range_counts(
         .groupBy(F.col(value).alias("value"))
         .agg(F.count("*").alias("value_rows"))
     )
-    # One value for the whole extent. The sum is not used; with it this reads the
-    # same columns as the join below and shares its scan.
-    extent = folded.agg(
-        F.struct(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("value_rows")).alias("e")
+    # The extent of the ranges' ends, not of the values: those outside it go to the outermost bins, and are read once.
+    ends = ranges.select(F.explode(F.array(F.col("low").cast("double"), F.col("high").cast("double"))).alias("end"))
+    extent = ends.agg(
+        F.struct(F.coalesce(F.min("end"), F.lit(0.0)).alias("low"), F.coalesce(F.max("end"), F.lit(0.0)).alias("high"))
     ).scalar()
-    least, most = extent["low"].cast("double"), extent["high"].cast("double")
+    least, most = extent["low"], extent["high"]
     width = F.greatest((most - least) / bins, F.lit(float(bin_width)))
 
     def bin_of(edge):
@@ -42,10 +42,7 @@ def range_counts(
 
     folded = folded.withColumn("bin", bin_of(F.col("value")))
     cut = (
-        ranges.filter(least.isNotNull())
-        .filter(F.col("low").isNull() | (F.col("low") <= most))
-        .filter(F.col("high").isNull() | (F.col("high") >= least))
-        .withColumn("first_bin", F.when(F.col("low").isNull(), F.lit(0)).otherwise(bin_of(F.col("low"))))
+        ranges.withColumn("first_bin", F.when(F.col("low").isNull(), F.lit(0)).otherwise(bin_of(F.col("low"))))
         .withColumn("last_bin", bin_of(F.coalesce(F.col("high").cast("double"), most)))
         .filter(F.col("first_bin") <= F.col("last_bin"))
         .withColumn("bin", F.explode(F.sequence("first_bin", "last_bin")))

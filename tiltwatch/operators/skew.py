@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,29 +19,41 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1 / 10_000
 
 
+def hot_levels(df: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE) -> list[DataFrame]:
+    """The hot keys of the first column, of the first two, and so on; see :func:`hot_keys`."""
+    keys = list(keys)
+    levels: list[DataFrame] = []
+    total, found = None, []
+    for i in range(1, len(keys) + 1):
+        part = keys[:i]
+        schema = df.select(*part).schema
+        if not levels or found:
+            rows = df.select(*part)
+            if levels:
+                rows = rows.join(F.broadcast(levels[-1]), keys[: i - 1], "left_semi")
+            counts = rows.groupBy(*part).agg(F.count("*").alias("hot_key_rows")).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                if total is None:
+                    total = counts.agg(F.sum("hot_key_rows").alias("n")).first()["n"] or 0
+                found = counts.filter(F.col("hot_key_rows") > total * hot_share).select(*part).collect()
+            finally:
+                counts.unpersist()
+        levels.append(df.sparkSession.createDataFrame(found, schema))
+    return levels
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float = HOT_SHARE) -> DataFrame:
-    """The keys that have more than ``hot_share`` of the rows of ``df``.
+    """The keys that have more than ``hot_share`` of the rows of ``df``, looked up at once.
 
-    Fewer than ``1 / hot_share`` keys can, at any size; a key not listed has
+    Fewer than ``1 / hot_share`` keys can, at any size, and only they reach the
+    driver; a key not listed has
     at most that share and is safe in the shuffle join. Composite keys are
     narrowed one column at a time: a pair can only be hot if its first column
-    is, so nearly unique key combinations are never shuffled. The choice
+    is, so nearly unique key combinations are never shuffled, and nothing is read
+    for them where no first column is hot. Rows are counted per key and in all in one scan. The choice
     depends on the data alone, so evaluating it twice gives the same list.
     """
-    found = None
-    rows = df.select(*keys)
-    total = df.agg(F.count("*").alias("n")).select("n").scalar()
-    for i in range(1, len(keys) + 1):
-        part = list(keys[:i])
-        if found is not None:
-            rows = rows.join(F.broadcast(found), list(keys[: i - 1]), "left_semi")
-        found = (
-            rows.groupBy(*part)
-            .agg(F.count("*").alias("hot_key_rows"))
-            .filter(F.col("hot_key_rows") > total * hot_share)
-            .select(*part)
-        )
-    return found
+    return hot_levels(df, keys, hot_share)[-1]
 
 
 def split_join(
@@ -51,9 +64,11 @@ def split_join(
     Rows with a key in ``hot`` meet a broadcast of that key's ``per_key`` rows
     where they are, so however many they are, or how alike, they are not moved.
     The broadcast is bounded as ``hot_keys`` is. The rest is a shuffle join.
-    With no hot keys adaptive execution drops the hot branch before it scans.
+    Without hot keys there is nothing but that.
     """
     keys = list(keys)
+    if hot.isEmpty():
+        return fact.join(per_key, keys)
     hot = F.broadcast(hot)
     cold_rows = fact.join(hot, keys, "left_anti").join(per_key, keys)
     # An inner join, as Catalyst would move a semi-join below the aggregate that

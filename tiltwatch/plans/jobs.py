@@ -132,18 +132,13 @@ def score_new(
 
 
 def reports(spark: SparkSession, settings: Settings, scored: str = SCORED) -> dict[str, DataFrame]:
-    """Every report on the named tables, by name; nothing runs until it is used."""
+    """Every report on the named tables, by name; until they are used, only the hot keys of the players are looked up."""
     chat = spark.table(settings.table(scored))
     players = spark.table(settings.table(TABLES["players"]))
     matches = spark.table(settings.table(TABLES["match"]))
     regions = spark.table(settings.table(TABLES["cluster_regions"]))
-    game = (chat, players, matches, regions)
-    return {
-        "region_activity": R.region_activity(*game),
-        "region_activity_authored": R.region_activity_authored(*game),
-        "messages_per_account": R.messages_per_account(chat, players),
-        "toxic_regions_top5": R.toxic_regions(*game),
-        "toxic_regions_authored": R.toxic_regions_authored(*game),
+    joined = R.join_reports(R.seat_fold(chat), players, matches, regions, R.hot_players(players))
+    return joined | {
         "toxic_vs_labelled": R.toxic_vs_labelled(chat),
         "toxic_split": R.toxic_split(chat),
         "messages_per_label": R.messages_per_label(chat),
@@ -151,7 +146,6 @@ def reports(spark: SparkSession, settings: Settings, scored: str = SCORED) -> di
         "match_share_per_label": R.match_share_per_label(chat),
         "toxic_timeline": R.toxic_timeline(chat),
         "toxic_timeline_disjoint": R.toxic_timeline_disjoint(chat),
-        "toxic_players_top10": R.toxic_players(chat, players),
     }
 
 
@@ -170,10 +164,13 @@ def publish(spark: SparkSession, settings: Settings, scored: str = SCORED) -> li
 
     The reports that only count messages come from one scan of the chat, the six
     that join it to players from a second one, folded to one row per seat. Both
-    results and the list of hot keys are kept while the tables are written.
+    results are kept while the tables are written.
     """
     chat = spark.table(settings.table(scored))
-    own = {name: reports(spark, settings, scored)[name] for name in ("label_count_histogram", "match_share_per_label")}
+    own = {
+        "label_count_histogram": R.label_count_histogram(chat),
+        "match_share_per_label": R.match_share_per_label(chat),
+    }
     return _save_reports(spark, settings, own, R.message_counts(chat), R.seat_fold(chat))
 
 
@@ -213,7 +210,7 @@ def _save_reports(
         for name, columns in _COUNTED.items():
             rows = counted.filter(F.col("report") == name)
             wanted[name] = rows.select(*[F.col(a).alias(b) for a, b in zip(("name", "n"), columns)])
-        hot = R.HotKeys(*map(keep, R.hot_players(players)))
+        hot = R.hot_players(players)
         wanted |= R.join_reports(keep(seats), players, matches, regions, hot)
         saved = []
         for name, report in wanted.items():

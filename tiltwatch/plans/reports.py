@@ -26,7 +26,7 @@ from tiltwatch.operators.counts import (
     top_k,
 )
 from tiltwatch.operators.fanout import rows_per_key
-from tiltwatch.operators.skew import HOT_SHARE, hot_keys, split_join
+from tiltwatch.operators.skew import HOT_SHARE, hot_keys, hot_levels, split_join
 
 
 def _toxic(chat: DataFrame) -> DataFrame:
@@ -61,10 +61,7 @@ class HotKeys(NamedTuple):
 
 
 def hot_players(players: DataFrame, hot_share: float = HOT_SHARE) -> HotKeys:
-    return HotKeys(
-        hot_keys(players, ["match_id"], hot_share),
-        hot_keys(players, ["match_id", "player_slot"], hot_share),
-    )
+    return HotKeys(*hot_levels(players, ["match_id", "player_slot"], hot_share))
 
 
 def seat_fold(chat: DataFrame) -> DataFrame:
