@@ -654,7 +654,7 @@ def test_every_run_of_50_words_holds_a_piece():
         for _ in range(2):
             text = f"{prose(rng, rng.randrange(90), 5000)} {shared} {prose(rng, rng.randrange(90), 5000)}"
             at = text.index(shared)
-            pieces.append({u[0] for u in passages.units(text, 4, 2) if at <= u[1] and u[2] <= at + len(shared)})
+            pieces.append({u[0] for u in passages.units(text, 4, 2) if at <= u[2] and u[3] <= at + len(shared) and u[4] is None})
         assert pieces[0] & pieces[1]
 
 
@@ -679,22 +679,114 @@ def test_shared_passages(spark):
     assert all(text in passage for d in (3, 9) for _, text in spans[d])
 
 
-@pytest.mark.parametrize("chunk", [3, 256])
-def test_similar_lines_like_all_pairs(spark, monkeypatch, chunk):
-    monkeypatch.setattr(passages, "CHUNK", chunk)
-    rng = random.Random(21)
+def word_shingles(line):
+    words = line.lower().split()
+    size = min(5, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def similar(a, b, threshold=0.8):
+    return len(a & b) >= threshold * len(a | b) - 1e-9
+
+
+def clusters_of(spark, lines, recall):
+    """Groups of line numbers that the operator's paragraphs form."""
+    docs = documents(spark, lines)
+    bands, rows = passages.tune_bands(recall=recall)
+    found = passages.found_units(docs, "doc_id", "text", bands, rows).persist()
+    classes = {r["unit"]: r["component_id"] for r in passages.line_classes(found, docs, "text", 0.8).collect()}
+    unit = {r["doc_id"]: r["unit"] for r in found.filter("bands IS NOT NULL").collect()}
+    return {i: classes[unit[i]] for i in range(len(lines))}
+
+
+def edited_lines(seed, groups, size, edits):
+    rng = random.Random(seed)
     lines = []
-    for _ in range(12):
+    for _ in range(groups):
         words = prose(rng, 60, 5000).split()
-        for _ in range(5):
+        for _ in range(size):
             lines.append(" ".join(words))
-            words[rng.randrange(len(words))] = f"x{rng.randrange(99)}"
-    lines = sorted(set(lines))
-    found = passages.shared_passages(documents(spark, lines), recall=0.9999).filter("end - start > 0").collect()
-    sets = [passages._line_shingles(x) for x in lines]
-    want = brute_components([(i, j) for i, j in combinations(range(len(lines)), 2) if passages._similar(sets[i], sets[j], 0.8)])
-    whole = {r["doc_id"] for r in found if r["end"] == len(lines[r["doc_id"]]) and r["start"] == 0}
-    assert set(want) <= whole | {r["doc_id"] for r in found}
+            for _ in range(edits):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+    return sorted(set(lines))
+
+
+@pytest.mark.parametrize("chunk", [3, 256])
+def test_similar_lines_like_all_pairs(spark, monkeypatch, chunk):
+    """At a recall that leaves nothing to chance, the clusters are those of all pairs: a lost link would part one."""
+    monkeypatch.setattr(passages, "CHUNK", chunk)
+    lines = edited_lines(21, 12, 5, 1)
+    sets = [word_shingles(x) for x in lines]
+    links = [(i, j) for i, j in combinations(range(len(lines)), 2) if similar(sets[i], sets[j])]
+    want = brute_components(links)
+    found = clusters_of(spark, lines, 0.999999)
+    assert len(set(want.values())) == 12
+    for i, j in combinations(range(len(lines)), 2):
+        assert (found[i] == found[j]) == (want.get(i, i) == want.get(j, j)), (lines[i], lines[j])
+
+
+def test_recall_at_default_settings(spark):
+    """Of pairs just at the threshold, the links found with the bands of the production run."""
+    rng = random.Random(33)
+    lines, pairs = [], []
+    for _ in range(400):
+        a = prose(rng, 100, 5000).split()
+        b = list(a)
+        b[rng.randrange(5, 45)], b[rng.randrange(55, 95)] = "changed", "altered"  # breaks ten of 96 shingles
+        x, y = " ".join(a), " ".join(b)
+        if similar(word_shingles(x), word_shingles(y)) and not similar(word_shingles(x), word_shingles(y), 0.9):
+            pairs.append((len(lines), len(lines) + 1))
+            lines += [x, y]
+    assert len(pairs) > 300
+    found = clusters_of(spark, lines, 0.98)
+    assert sum(found[i] == found[j] for i, j in pairs) >= 0.95 * len(pairs)
+    assert len(set(found.values())) >= len(pairs)  # and no two pairs are taken for one
+
+
+def test_bands_weigh_chance_against_rows():
+    for recall in (0.95, 0.98, 0.999):
+        b, r = passages.tune_bands(recall=recall)
+        assert 1 - (1 - 0.8**r) ** b >= recall and r >= 4 and b * r <= 128
+    assert passages.tune_bands(weight=0.0) == (4, 2)
+
+
+def test_templated_lines_are_told_apart_quickly(spark):
+    """Lines that share 40 of 65 words are no copies, and few of them share a band."""
+    rng = random.Random(5)
+    form = prose(rng, 40, 5000)
+    lines = [f"{form} {prose(rng, 25, 5000)}" for _ in range(12_000)]
+    docs = documents(spark, lines)
+    bands, rows = passages.tune_bands()
+    found = passages.found_units(docs, "doc_id", "text", bands, rows).persist()
+    found.count()
+    start = time.time()
+    classes = passages.line_classes(found, docs, "text", 0.8)
+    assert classes.select("component_id").distinct().count() == 12_000
+    assert time.time() - start < 40  # 64 s with the bands of two rows, on a machine with nothing else to do
+
+
+def test_verified_like_sets():
+    rng = random.Random(12)
+    for size in (1, 2, 7, 40):
+        lines = [(i, x) for i, x in enumerate(edited_lines(size, 4, size, 2))] + [(900, "a b"), (901, "a b"), (902, "")]
+        sets = {i: word_shingles(x) for i, x in lines}
+        near = lambda i, j: similar(sets[i], sets[j]) and bool(sets[i] | sets[j])
+        cut = rng.randrange(1, len(lines))
+        for left, right in ((lines, None), (lines[:cut], lines[cut:])):
+            pairs = combinations(left, 2) if right is None else ((a, b) for a in left for b in right)
+            want = brute_components([(a[0], b[0]) for a, b in pairs if near(a[0], b[0])])
+            got = passages.verified(left, right, 0.8)
+            assert brute_components([e for e in got if near(*e)]) == want
+
+
+def test_shorter_paragraphs_on_request(spark):
+    lines = ["one two three four five six seven eight nine ten"] * 2 + ["only four words here"] * 2
+    docs = documents(spark, lines)
+    assert passages.shared_passages(docs).count() == 0
+    found = passages.shared_passages(docs, min_words=8).collect()
+    assert sorted((r["doc_id"], r["kept"]) for r in found) == [(0, True), (1, False)]
+    few = passages.shared_passages(docs, min_words=2).collect()
+    assert sorted(r["doc_id"] for r in few) == [0, 1, 2, 3]
 
 
 def test_passages_odd_rows(spark, odd):

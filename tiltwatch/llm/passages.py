@@ -16,31 +16,36 @@ from tiltwatch.llm.components import components
 SHINGLE = 5
 THRESHOLD = 0.8
 SEED = 42
-#: Paragraphs below this many words are left alone; pieces of longer ones have as many.
+#: Paragraphs below this many words are left alone, unless asked otherwise; pieces of longer ones have as many.
 PIECE = 20
 #: Every run of 50 words holds a whole piece: an anchor lies in each stretch of so many shingles.
 STRETCH = 31
-#: Paragraphs of a band meet in chunks of about this many.
-CHUNK = 256
+#: Paragraphs of a band meet in chunks of about this many, and of about so many code points.
+CHUNK, CHUNK_SIZE = 256, 1 << 18
+#: Columns of the shingle table that are multiplied at a time.
+WIDTH = 4096
 #: Hash slots that tell which rows a join may need.
 SLOTS = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tune_bands(threshold: float = THRESHOLD, recall: float = 0.98, most: int = 128) -> tuple[int, int]:
-    """``(bands, rows)``: the longest bands that still find a pair at ``threshold``.
+def tune_bands(
+    threshold: float = THRESHOLD, recall: float = 0.98, most: int = 128, chance: float = 0.4, weight: float = 15.0
+) -> tuple[int, int]:
+    """``(bands, rows)`` of least cost that find a pair at ``threshold`` with probability ``recall``.
 
-    A pair of similarity s shares a band with probability 1 - (1 - s^r)^b.
-    The choice has the fewest bands, so the least shuffled, among those with
-    two rows or more that reach ``recall`` with ``most`` hashes.
+    A pair of similarity s shares a band with probability 1 - (1 - s^r)^b. A
+    band costs one row to shuffle for each paragraph, and ``weight`` times the share of pairs of
+    similarity ``chance``, as between paragraphs made from one form, that it brings together for nothing:
+    few short bands move little but fill with such pairs.
     """
     fitting = [
-        (b, r)
+        (b * (1 + weight * chance**r), b, r)
         for r in range(2, most + 1)
         for b in range(1, most // r + 1)
         if 1 - (1 - threshold**r) ** b >= recall
     ]
-    return min(fitting)
+    return min(fitting)[1:]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -69,17 +74,20 @@ def _anchors(hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
 
 
-def units(text: str | None, bands: int, rows: int) -> list[tuple[int, int, int, list[int] | None]]:
-    """``(hash, start, end, bands)`` of a text's paragraphs and, without bands, its pieces.
+def units(
+    text: str | None, bands: int, rows: int, min_words: int = PIECE
+) -> list[tuple[int, int, int, int, list[int] | None]]:
+    """``(hash, check, start, end, bands)`` of a text's paragraphs and, without bands, its pieces.
 
-    Offsets are code points. A paragraph is a line of ``PIECE`` words or more;
+    Offsets are code points. The hash and, for pieces, a second one tell texts
+    apart. A paragraph is a line of ``min_words`` words or more;
     a piece is the ``PIECE`` words from an anchor, wherever lines end. Anchors
     depend only on the words around them, so a passage has the same pieces in
     every document that holds it.
     """
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.lower().split()
-    if len(words) < PIECE:
+    if len(words) < min(PIECE, min_words):
         return []
     codes = np.frombuffer(raw, dtype=np.uint8)
     space = (codes == 32) | ((codes >= 9) & (codes <= 13))
@@ -97,16 +105,16 @@ def units(text: str | None, bands: int, rows: int) -> list[tuple[int, int, int,
     found = []
     for at in _anchors(hashes).tolist():
         if at + PIECE <= len(words):
-            unit = digest(b" ".join(words[at : at + PIECE]), SEED)
-            found.append((unit, int(points[first[at]]), int(points[last[at + PIECE - 1]]), None))
+            unit = xxhash.xxh3_128_intdigest(b" ".join(words[at : at + PIECE]), SEED)
+            found.append((unit >> 64, unit & 0xFFFFFFFFFFFFFFFF, int(points[first[at]]), int(points[last[at + PIECE - 1]]), None))
     breaks = np.flatnonzero(codes == 10)
     edges = np.unique(np.concatenate([[0], np.searchsorted(first, breaks), [len(words)]]))
-    long = np.flatnonzero(np.diff(edges) >= PIECE)
+    long = np.flatnonzero(np.diff(edges) >= min_words)
     if not len(long):
         return found
     begin, end = edges[long], edges[long + 1]
     # Each line's own shingles: from its first word to the last that starts one within it.
-    cuts = np.stack([begin, end - SHINGLE + 1], axis=1).ravel()
+    cuts = np.minimum(np.stack([begin, np.maximum(end - SHINGLE, begin) + 1], axis=1).ravel(), len(hashes))
     factors = np.arange(1, 2 * bands * rows, 2, dtype=np.uint64) * _BASE | np.uint64(1)
     padded = np.append(hashes, np.uint64(0))
     least = np.stack([np.minimum.reduceat(padded * f, cuts)[::2] for f in factors])
@@ -117,19 +125,30 @@ def units(text: str | None, bands: int, rows: int) -> list[tuple[int, int, int,
     keys = _mix(keys + (np.arange(bands, dtype=np.uint64) * _BASE)[:, None]).view(np.int64).T.tolist()
     for a, b, key in zip(begin.tolist(), end.tolist(), keys):
         line = raw[first[a] : last[b - 1]]
-        found.append((digest(line, SEED), int(points[first[a]]), int(points[last[b - 1]]), key))
+        found.append((digest(line, SEED), 0, int(points[first[a]]), int(points[last[b - 1]]), key))
     return found
 
 
-def _similar(a: frozenset, b: frozenset, threshold: float) -> bool:
-    both = len(a & b)
-    return both >= threshold * (len(a) + len(b) - both) - 1e-9
+def _line_shingles(line: str) -> np.ndarray:
+    """The distinct shingles of a line, as hashes of hashes of its words."""
+    words = line.encode("utf-8", "surrogatepass").lower().split()
+    values = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), dtype=np.uint64, count=len(words))
+    return np.unique(_shingles(values, SHINGLE))
 
 
-def _line_shingles(line: str) -> frozenset:
-    words = line.encode("utf-8", "surrogatepass").lower().split()
-    size = min(SHINGLE, len(words))
-    return frozenset(zip(*(words[i:] for i in range(size))))
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two lines share: products of the table of lines and shingles, some columns at a time."""
+    names, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    for at in range(0, len(names), WIDTH):
+        low, high = np.searchsorted(column, [at, at + WIDTH])
+        table = np.zeros((len(sets), min(WIDTH, len(names) - at)), dtype=np.float32)
+        table[row[low:high], column[low:high] - at] = 1
+        shared += table @ table.T
+    return shared
 
 
 def verified(
@@ -137,10 +156,18 @@ def verified(
 ) -> list[tuple[int, int]]:
     """Edges that join exactly the similar lines of two chunks, one per joined line.
 
-    Pairs that earlier edges have joined already need no comparison.
+    Jaccard similarities are exact and taken for all pairs at once; of the
+    pairs that reach ``threshold`` those are left out that earlier edges have joined already.
     """
     nodes = left + (right or [])
     sets = [_line_shingles(line) for _, line in nodes]
+    sizes = np.array([len(s) for s in sets], dtype=np.float64)
+    shared = _shared(sets)
+    close = shared >= threshold * (sizes[:, None] + sizes[None, :] - shared) - 1e-9
+    close = np.triu(close, 1)
+    if right is not None:
+        close[:, : len(left)] = False
+        close[len(left) :] = False
     top = list(range(len(nodes)))
 
     def find(i: int) -> int:
@@ -149,12 +176,10 @@ def verified(
         return i
 
     edges = []
-    for i in range(len(left)):
-        for j in range(i + 1, len(left)) if right is None else range(len(left), len(nodes)):
-            if nodes[i][0] != nodes[j][0] and (x := find(i)) != (y := find(j)):
-                if _similar(sets[i], sets[j], threshold):
-                    top[x] = y
-                    edges.append((nodes[i][0], nodes[j][0]))
+    for i, j in np.argwhere(close).tolist():
+        if nodes[i][0] != nodes[j][0] and (x := find(i)) != (y := find(j)):
+            top[x] = y
+            edges.append((nodes[i][0], nodes[j][0]))
     return edges
 
 
@@ -171,10 +196,12 @@ def _thinned(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> DataFrame:
     """``(a, b)`` edges between distinct lines that share a band and are similar."""
-    banded = lines.select("unit", F.explode("bands").alias("band"))
+    banded = lines.select("unit", "size", F.explode("bands").alias("band"))
+    # A line may be a whole document, so chunks are filled by size as well as by number.
+    chunks = F.ceil(F.greatest(F.col("n") / CHUNK, F.least(F.col("size") / CHUNK_SIZE, F.col("n"))))
     full = keep(
-        banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        .select("band", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")),
+        banded.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")).filter("n > 1")
+        .select("band", chunks.cast("int").alias("chunks")),
         "bands",
     )
     members = keep(
@@ -216,19 +243,71 @@ def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> Da
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def line_classes(found: DataFrame, docs: DataFrame, text_col: str, threshold: float) -> DataFrame:
+    """``(unit, low, high, component_id)`` of every distinct paragraph among the units ``found`` in ``docs``.
+
+    ``component_id`` is the least paragraph that verified similarities reach;
+    low and high are the least and greatest document with the paragraph.
+    """
+    lines = keep(
+        found.filter("bands IS NOT NULL").groupBy("unit").agg(
+            F.min("doc").alias("low"), F.max("doc").alias("high"), F.first("bands").alias("bands"),
+            F.max(F.col("end") - F.col("start")).alias("size"),
+        ),
+        "paragraphs",
+    )
+    # The same lines once more as text; their hash is Spark's own xxhash64.
+    text_of = docs.select(F.explode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line")).select(
+        F.regexp_replace("line", r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "").alias("line")
+    ).withColumn("unit", F.xxhash64("line"))
+    linked = components(_similar_lines(lines, text_of, threshold))
+    return lines.join(linked.withColumnRenamed("node", "unit"), "unit", "left").select(
+        "unit", "low", "high", F.coalesce("root", "unit").alias("component_id")
+    )
+
+
+def found_units(
+    docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, min_words: int = PIECE
+) -> DataFrame:
+    """The :func:`units` of every row, with ``doc``, a hash that tells rows of one id and text from others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, u) for i, t in enumerate(batch.column(2)) for u in units(t.as_py(), bands, rows, min_words)]
+            at = pa.array([i for i, _ in found], pa.int32())
+            unit, check = (np.array([u[k] for _, u in found], dtype=np.uint64).view(np.int64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(at), batch.column(1).take(at), pa.array(unit), pa.array(check),
+                    pa.array([u[2] for _, u in found], pa.int32()), pa.array([u[3] for _, u in found], pa.int32()),
+                    pa.array([u[4] for _, u in found], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "doc", "unit", "check", "start", "end", "bands"],
+            )
+
+    text = F.col(f"`{text_col}`")
+    rows_in = docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("doc"), text.alias("text")
+    )
+    kind = rows_in.schema["doc_id"].dataType.simpleString()
+    return rows_in.mapInArrow(
+        run, f"doc_id {kind}, doc long, unit long, check long, start int, end int, bands array<long>"
+    )
+
+
 def shared_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-    recall: float = 0.98,
+    recall: float = 0.98, min_words: int = PIECE,
 ) -> DataFrame:
     """``doc_id, start, end, component_id, kept``: passages found in several documents.
 
-    Paragraphs (lines of 20 words or more) are compared by MinHash bands over
+    Paragraphs (lines of ``min_words`` words or more; shorter ones are out of scope) are compared by MinHash bands over
     five-word shingles, tuned for ``recall`` at ``threshold``; those that
     share a band are verified by exact Jaccard similarity, and components of
     similar paragraphs are one cluster. A passage inside longer paragraphs is
     found by its pieces, 20 words from anchors that its own words set; any 50
     neighbouring words hold one. Equal paragraphs and pieces meet as one class
-    before anything is compared.
+    before anything is compared, pieces by 128 bits of hash.
 
     Of every cluster or class seen in two documents or more, the occurrence
     with the least id and offset is kept, the others are for removal.
@@ -241,59 +320,23 @@ def shared_passages(
     Other columns are not read; an empty table gives an empty result.
     """
     bands, rows = tune_bands(threshold, recall)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, u) for i, t in enumerate(batch.column(2)) for u in units(t.as_py(), bands, rows)]
-            at = pa.array([i for i, _ in found], pa.int32())
-            unit = np.array([u[0] for _, u in found], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(at), batch.column(1).take(at), pa.array(unit),
-                    pa.array([u[1] for _, u in found], pa.int32()), pa.array([u[2] for _, u in found], pa.int32()),
-                    pa.array([u[3] for _, u in found], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "doc", "unit", "start", "end", "bands"],
-            )
-
-    text = F.col(f"`{text_col}`")
-    rows_in = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("doc"), text.alias("text")
-    )
-    kind = rows_in.schema["doc_id"].dataType.simpleString()
-    found = keep(
-        rows_in.mapInArrow(
-            run, f"doc_id {kind}, doc long, unit long, start int, end int, bands array<long>"
-        ),
-        "units",
-    )
-    seen = [F.min("doc").alias("low"), F.max("doc").alias("high")]
+    found = keep(found_units(docs, id_col, text_col, bands, rows, min_words), "units")
     pieces = (
-        found.filter("bands IS NULL").groupBy("unit").agg(*seen).filter("low != high")
-        .select("unit", F.lit(False).alias("line"), F.col("unit").alias("component_id"))
-    )
-    lines = keep(
-        found.filter("bands IS NOT NULL").groupBy("unit").agg(*seen, F.first("bands").alias("bands")), "paragraphs"
-    )
-    # The same lines once more as text; their hash is Spark's own xxhash64.
-    pieces_of = F.explode(F.split(text, "\n"))
-    text_of = docs.select(pieces_of.alias("line")).select(
-        F.regexp_replace("line", r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "").alias("line")
-    ).withColumn("unit", F.xxhash64("line"))
-    linked = components(_similar_lines(lines, text_of, threshold))
-    rooted = lines.join(linked.withColumnRenamed("node", "unit"), "unit", "left").withColumn(
-        "component_id", F.coalesce("root", "unit")
+        found.filter("bands IS NULL").groupBy("unit", "check")
+        .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low != high")
+        .select("unit", "check", F.lit(False).alias("line"), F.col("unit").alias("component_id"))
     )
+    rooted = line_classes(found, docs, text_col, threshold)
     clusters = rooted.groupBy("component_id").agg(
         F.min("low").alias("low"), F.max("high").alias("high")
     ).filter("low != high").select("component_id")
     lines_hit = rooted.select("unit", "component_id").join(clusters, "component_id").select(
-        "unit", F.lit(True).alias("line"), "component_id"
+        "unit", F.lit(0).cast("long").alias("check"), F.lit(True).alias("line"), "component_id"
     )
     hit = keep(pieces.unionAll(lines_hit), "shared")
     spans = keep(
         found.withColumn("line", F.col("bands").isNotNull()).drop("bands")
-        .join(hit, ["unit", "line"]).drop("unit"),
+        .join(hit, ["unit", "check", "line"]).drop("unit", "check"),
         "occurrences",
     )
     firsts = keep(
