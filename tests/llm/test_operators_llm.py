@@ -24,6 +24,7 @@ from tiltwatch.llm import (
     toxicity,
     urls,
 )
+from tiltwatch.llm.common import keep
 from tiltwatch.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -203,6 +204,31 @@ def test_shards_odd_rows(spark, odd):
     assert sharding.shard(empty(spark), 50).count() == 0
 
 
+@pytest.mark.parametrize("limit", [50_000, 700])
+def test_sharding_reads_the_table_a_fixed_number_of_times(spark, monkeypatch, tmp_path, limit):
+    """With a third of all rows under one key, and however deep the directory goes."""
+    rng = random.Random(4)
+    texts = [(7 if i % 3 == 0 else i, prose(rng, rng.randrange(2, 60)), "x") for i in range(1300)]
+    spark.createDataFrame(texts, "doc_id long, text string, _shard string").repartition(3).write.parquet(str(tmp_path / "docs"))
+    plans = []
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, purpose)
+
+    monkeypatch.setattr(sharding, "keep", kept)
+    placed = sharding.shard(spark.read.parquet(str(tmp_path / "docs")), limit)
+    plans.append(placed._jdf.queryExecution().executedPlan().toString())
+    place = str(tmp_path / "docs")[-40:]
+    assert sum(p.count(place) for p in plans) <= 3  # hashes, rows of the hot key, and the rest
+    rows = placed.collect()
+    held = Counter()
+    for r in rows:
+        held[r["_shard"]] += r["_bytes"]
+    assert len(rows) == 1300 and all(held[r["_shard"]] == r["_shard_bytes"] for r in rows)
+    assert all(n <= limit for n in held.values())
+
+
 # --- PII ----------------------------------------------------------------------------------------
 
 

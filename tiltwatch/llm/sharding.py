@@ -29,18 +29,25 @@ def directory(rows: DataFrame, max_bytes: int, hash_col: str = "h", bytes_col: s
     Rows whose first ``bits`` hash bits are ``prefix`` belong to the bucket
     named by the first ``shard_depth`` of them. A bucket is the shallowest
     prefix whose rows fit ``max_bytes`` or that has one row; only buckets above
-    that are split on another bit. Bytes are counted per prefix with partial aggregates, a few
+    that are split on another bit. The rows are read once, to a row per hash with its bytes and
+    rows; all else goes on from those. Bytes are counted per prefix, a few
     bits past the depth an even split would need; where that does not do, only
-    the rows still in oversized prefixes are counted again, deeper. A prefix
-    of all bits is as deep as it goes and may be oversized.
+    the hashes still in oversized prefixes are counted again, deeper. A hash alone in its prefix
+    goes to all its bits at once, as deep as it goes, and may be oversized.
     """
-    total = rows.agg(F.sum(bytes_col)).first()[0] or 0
+    keys = keep(
+        rows.groupBy(F.col(hash_col).alias("h")).agg(
+            F.sum(bytes_col).cast("long").alias("bytes"), F.count(F.lit(1)).alias("n")
+        ),
+        "hashes",
+    )
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
     low, bits = 0, min(BITS, max(1, (total // max_bytes).bit_length()) + AHEAD)
-    done, open_rows = None, rows
+    done = None
     while True:
         cells = keep(
-            open_rows.groupBy(_prefix(hash_col, bits).alias("prefix")).agg(
-                F.sum(bytes_col).alias("bytes"), F.count(F.lit(1)).alias("n")
+            keys.groupBy(_prefix("h", bits).alias("prefix")).agg(
+                F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), F.min("h").alias("one"), F.max("h").alias("other")
             ),
             "cells",
         )
@@ -59,15 +66,17 @@ def directory(rows: DataFrame, max_bytes: int, hash_col: str = "h", bytes_col: s
             )
         )
         found = keep(found, "directory")
+        open_cells = keep(cells.join(found, "prefix", "left_anti"), "oversized")
+        alone = open_cells.filter("one = other").select(
+            F.lit(BITS).alias("bits"), F.col("one").alias("prefix"), F.lit(BITS).alias("shard_depth"),
+            F.col("bytes").alias("shard_bytes"), F.col("n").alias("shard_rows"),
+        )
+        found = found.unionAll(alone)
         done = found if done is None else done.unionAll(found)
-        if bits == BITS:
+        still = open_cells.filter("one != other").select("prefix")
+        if bits == BITS or still.isEmpty():
             return done
-        still = keep(cells.join(found, "prefix", "left_anti").select("prefix"), "oversized")
-        if still.isEmpty():
-            return done
-        open_rows = open_rows.join(
-            still, _prefix(hash_col, bits) == still["prefix"], "left_semi"
-        )
+        keys = keep(keys.join(still, _prefix("h", bits) == still["prefix"], "left_semi"), "hashes")
         low, bits = bits + 1, min(BITS, bits + 8)
 
 
@@ -94,25 +103,29 @@ def shard(
     })
     slim = rows.select(F.col("__shard_h").alias("h"), F.col("__shard_bytes").alias("bytes"))
     listed = keep(directory(slim, max_bytes), "directory")
-    levels = sorted(r["bits"] for r in listed.select("bits").distinct().collect())  # 60 at most
     name = F.when(F.col("shard_depth") == 0, F.lit("root")).otherwise(
         F.expr("lpad(bin(shiftright(prefix, bits - shard_depth)), shard_depth, '0')")
     )
-    named = listed.select(
-        "bits", F.col("prefix").alias("__shard_prefix"), name.alias("__shard_name"),
-        F.col("shard_bytes").alias("__shard_held"),
-        ((F.col("shard_rows") > 1) & (F.col("shard_bytes") > max_bytes)).alias("__shard_over"),
+    coarse = listed.agg(F.min("bits")).first()[0] or 0
+    entry = F.struct(
+        "bits", "prefix", name.alias("name"), F.col("shard_bytes").alias("held"),
+        ((F.col("shard_rows") > 1) & (F.col("shard_bytes") > max_bytes)).alias("over"),
     )
-    placed = None
-    for bits in levels:
-        part = named.filter(F.col("bits") == bits).drop("bits")
-        hit = rows.join(part, _prefix("__shard_h", bits) == part["__shard_prefix"]).drop("__shard_prefix")
-        placed = hit if placed is None else placed.unionAll(hit)
-    if placed is None:
-        placed = rows.withColumns({
-            "__shard_name": F.lit("root"), "__shard_held": F.lit(0).cast("long"), "__shard_over": F.lit(False)
-        })
-    if BITS in levels and not named.filter("__shard_over").isEmpty():
+    # One row per prefix of the least depth, with the few entries below it, so that every row finds its own by one join.
+    named = keep(
+        listed.groupBy(F.expr(f"shiftright(prefix, bits - {coarse})").alias("__shard_prefix"))
+        .agg(F.collect_list(entry).alias("__shard_entries")),
+        "entries",
+    )
+    here = F.filter("__shard_entries", lambda e: F.call_function(
+        "shiftright", F.col("__shard_h"), F.lit(BITS) - e["bits"]) == e["prefix"])
+    placed = (
+        rows.join(named, _prefix("__shard_h", coarse) == named["__shard_prefix"])
+        .withColumn("__shard_entry", here[0])
+        .withColumns({f"__shard_{c}": F.col(f"__shard_entry.{c}") for c in ("name", "held", "over")})
+        .drop("__shard_prefix", "__shard_entries", "__shard_entry")
+    )
+    if not listed.filter((F.col("shard_rows") > 1) & (F.col("shard_bytes") > max_bytes)).isEmpty():
         placed = placed.filter("NOT __shard_over").unionByName(
             _split_alike(placed.filter("__shard_over"), max_bytes)
         )
@@ -124,11 +137,9 @@ def shard(
 def _split_alike(placed: DataFrame, max_bytes: int) -> DataFrame:
     """Rows with one key above the limit, split further on the bits of their row number's hash."""
     alike = keep(placed.withColumn("__shard_n", F.monotonically_increasing_id()), "alike")
-    rows = alike.withColumn("__shard_g", key_hash(F.col("__shard_n")))
-    totals = rows.groupBy("__shard_h").agg(F.sum("__shard_bytes").alias("all"))
     # Even hashes leave a cell of so many bits half full; one that is not is split below.
-    depth = F.least(F.lit(BITS), F.greatest(F.lit(1), F.ceil(F.log2(F.col("all") / max_bytes)) + 1))
-    rows = rows.join(totals.select("__shard_h", depth.cast("int").alias("__shard_depth")), "__shard_h")
+    depth = F.least(F.lit(BITS), F.greatest(F.lit(1), F.ceil(F.log2(F.col("__shard_held") / max_bytes)) + 1))
+    rows = alike.withColumns({"__shard_g": key_hash(F.col("__shard_n")), "__shard_depth": depth.cast("int")})
     cell = F.expr(f"shiftright(__shard_g, {BITS} - __shard_depth)")
     key = ["__shard_h", "__shard_depth", "__shard_cell"]
     while True:
