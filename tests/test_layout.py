@@ -35,7 +35,7 @@ def test_compaction_packs_files_without_a_shuffle(spark, tmp_path, wanted):
         )
     size = layout.folder_bytes(spark, str(tmp_path / "in"))
     file_bytes = -(-size // wanted)
-    laid_out = layout._laid_out(spark, str(tmp_path / "in"), False, str(tmp_path / "in"), (), file_bytes, False)
+    laid_out = layout._packed(spark, lambda own: own.read.parquet(str(tmp_path / "in")), [str(tmp_path / "in")], wanted)
     assert "Exchange" not in plan(laid_out) and "Coalesce" in plan(laid_out)
     layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), file_bytes=file_bytes)
     out = spark.read.parquet(str(tmp_path / "out"))
@@ -45,6 +45,17 @@ def test_compaction_packs_files_without_a_shuffle(spark, tmp_path, wanted):
     ).first()
 
 
+def test_very_many_files_are_packed_by_all_tasks_first(spark, tmp_path, monkeypatch):
+    spark.range(3_000).repartition(90).write.parquet(str(tmp_path / "in"))
+    monkeypatch.setattr(layout, "MANY", 8)
+    written = []
+    pack = layout._packed
+    monkeypatch.setattr(layout, "_packed", lambda s, read, folders, n: written.append(n) or pack(s, read, folders, n))
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert written == [8, 1] and len(files(tmp_path / "out")) == 1
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.count("*"), F.sum("id")).first() == (3_000, 4_498_500)
+
+
 def test_compaction_cuts_large_files(spark, tmp_path):
     spark.conf.set("parquet.block.size", "20000")
     try:

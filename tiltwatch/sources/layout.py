@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tiltwatch.config import work_folder
+
 FILE_BYTES = 128 * 1024 * 1024
 #: A task that packs files takes about so many pieces, so that uneven files still make even tasks.
 PIECES = 4
+#: Small files that a task opens one after the other without much delay.
+MANY = 32
 #: Bits of a column's rank on the curve; the bounds between ranks are 2^BITS - 1 sampled quantiles.
 BITS = 8
 
@@ -130,28 +134,46 @@ def has_stream_log(spark: SparkSession, folder: str) -> bool:
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata"))
 
 
-def _packing(spark: SparkSession, folders: Sequence[str], file_bytes: int) -> tuple[SparkSession, int]:
-    """A session whose scans pack the files of ``folders`` into even pieces, and the number of files wanted."""
+def _packed(
+    spark: SparkSession, read: Callable[[SparkSession], DataFrame], folders: Sequence[str], files: int
+) -> DataFrame:
+    """The rows that ``read`` finds in ``folders`` in ``files`` partitions, each of some whole pieces of the old files."""
     size = sum(folder_bytes(spark, f) for f in folders)
-    files = max(1, -(-size // file_bytes))
     # Files of usual size stay whole: a file has often a single row group, and a cut would leave one half without rows.
     usual = -(-size * 6 // (5 * sum(file_count(spark, f) for f in folders)))
-    return scan_session(spark, max(1, min(file_bytes, max(-(-size // (files * PIECES)), usual)))), files
+    piece = min(-(-size // files), max(-(-size // (files * PIECES)), usual))
+    return read(scan_session(spark, max(1, piece))).coalesce(files)
 
 
-def _laid_out(
-    spark: SparkSession, source: str, is_table: bool, folder: str, cluster_by: Sequence[str], file_bytes: int,
-    by_curve: bool,
-) -> DataFrame:
-    """The rows in as many partitions as files are wanted.
+def _write_packed(
+    spark: SparkSession,
+    read: Callable[[SparkSession], DataFrame],
+    folders: Sequence[str],
+    file_bytes: int,
+    write: Callable[[DataFrame], None],
+) -> None:
+    """``write`` the rows in few files, without a shuffle.
 
-    Without columns nothing is shuffled: each task reads some whole pieces of the old files and writes one new file.
+    Opening files is what takes time when they are tiny. Where one task would have to open very many while
+    others have none, all tasks first pack them into a few larger ones.
     """
-    if not cluster_by:
-        own, files = _packing(spark, [folder], file_bytes)
-        return (own.table(source) if is_table else own.read.parquet(source)).coalesce(files)
-    rows = spark.table(source) if is_table else spark.read.parquet(source)
-    return clustered(rows, cluster_by, max(1, -(-folder_bytes(spark, folder) // file_bytes)), by_curve)
+    files = max(1, -(-sum(folder_bytes(spark, f) for f in folders) // file_bytes))
+    count = sum(file_count(spark, f) for f in folders)
+    tasks = min(spark.sparkContext.defaultParallelism, count // MANY)
+    if tasks < 2 * files:
+        write(_packed(spark, read, folders, files))
+        return
+    step = work_folder(spark, "packed")
+    _packed(spark, read, folders, tasks).write.parquet(step)
+    _write_packed(spark, lambda own: own.read.parquet(step), [step], file_bytes, write)
+    fs, path = _file_system(spark, step)
+    fs.delete(path, True)
+
+
+def _clustered(
+    spark: SparkSession, rows: DataFrame, folder: str, columns: Sequence[str], file_bytes: int, by_curve: bool
+) -> DataFrame:
+    return clustered(rows, columns, max(1, -(-folder_bytes(spark, folder) // file_bytes)), by_curve)
 
 
 def compact_parts(spark: SparkSession, folders: Sequence[str], target: str, file_bytes: int = FILE_BYTES) -> None:
@@ -159,9 +181,10 @@ def compact_parts(spark: SparkSession, folders: Sequence[str], target: str, file
 
     Nothing is shuffled. Columns that only some folders have are NULL in the rows of the others.
     """
-    own, files = _packing(spark, folders, file_bytes)
-    rows = own.read.option("mergeSchema", "true").parquet(*folders)
-    rows.coalesce(files).write.mode("overwrite").parquet(target)
+    _write_packed(
+        spark, lambda own: own.read.option("mergeSchema", "true").parquet(*folders), folders, file_bytes,
+        lambda rows: rows.write.mode("overwrite").parquet(target),
+    )
 
 
 def compact_files(
@@ -173,8 +196,14 @@ def compact_files(
     by_curve: bool = False,
 ) -> None:
     """Write the Parquet rows of ``folder`` into few files under the new ``target``."""
-    laid_out = _laid_out(spark, folder, False, folder, cluster_by, file_bytes, by_curve)
-    laid_out.write.mode("errorifexists").parquet(target)
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("errorifexists").parquet(target)
+
+    if cluster_by:
+        write(_clustered(spark, spark.read.parquet(folder), folder, cluster_by, file_bytes, by_curve))
+    else:
+        _write_packed(spark, lambda own: own.read.parquet(folder), [folder], file_bytes, write)
 
 
 def compact_table(
@@ -198,8 +227,14 @@ def compact_table(
         raise ValueError(f"{table} is the target of a stream and cannot be compacted")
     mark = uuid.uuid4().hex[:8]
     fresh, previous = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    laid_out = _laid_out(spark, table, True, folder, cluster_by, file_bytes, by_curve)
-    laid_out.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
+
+    def write(rows: DataFrame) -> None:
+        rows.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
+
+    if cluster_by:
+        write(_clustered(spark, spark.table(table), folder, cluster_by, file_bytes, by_curve))
+    else:
+        _write_packed(spark, lambda own: own.table(table), [folder], file_bytes, write)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     try:
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
