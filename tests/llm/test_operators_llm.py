@@ -608,6 +608,18 @@ def test_apportionment_like_handing_out_seats(spark, seats):
     assert {r["k"]: r["quota"] for r in found} == brute_seats(weights, seats)
 
 
+def test_apportionment_of_many_like_parties(spark):
+    """Equal quotients on both sides of the last seat and in every part; the key alone decides."""
+    weights = {("a", k): 7 + (k % 3 == 0) for k in range(500)} | {("b", k): 1 for k in range(300)} | {("c", 0): 5}
+    seats = {"a": 333, "b": 299, "c": 4}
+    df = spark.createDataFrame([(g, k, w, seats[g]) for (g, k), w in weights.items()], "g string, k int, w int, s int")
+    found = {(r["g"], r["k"]): r["quota"] for r in mixing.apportion(df, ["g"], "k", "w", "s").collect()}
+    for g, n in seats.items():
+        want = brute_seats({k: w for (x, k), w in weights.items() if x == g}, n)
+        assert {k: found[g, k] for k in want} == want
+
+
+
 def brute_targets(sizes, weights=(3, 1, 2), share=1.5, copies=2):
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     weight = {s: weights[i % 3] for i, s in enumerate(order)}

@@ -9,49 +9,62 @@ from tiltwatch.llm.common import SPACE_CLASS, keep, word_count
 from tiltwatch.llm.sharding import key_hash
 
 
+#: Quantiles that part the quotients of a group, so that only those around the last seat are ranked together.
+PARTS = 256
+
+
 def apportion(parties: DataFrame, groups: list[str], key: str, weight: str, seats: str) -> DataFrame:
     """``parties`` with ``quota``: whole seats by the highest quotients weight / (2k - 1).
 
     ``seats`` is the number to give within each group, ``key`` is unique there
     and breaks ties. For n parties the divisor that gives out all seats lies
     between total / (seats + n/2) and total / (seats - n/2); so only the few
-    quotients between these two counts, about two per party, are ranked.
-    Parties with no weight get no seats.
+    quotients between these two counts, about two per party, are compared.
+    They are parted at quantiles and counted per part; parts above the last seat win whole,
+    and only the part that it falls into is ranked. So a group may have any number of
+    parties. Parties with no weight get no seats.
     """
-    group = Window.partitionBy(*groups)
-    bounded = parties.withColumns({
-        "total_": F.sum(weight).over(group),
-        "half_": F.sum(F.when(F.col(weight) > 0, 0.5).otherwise(0.0)).over(group),
-    })
+    parties = keep(parties, "parties")
+    sums = parties.groupBy(*groups).agg(
+        F.sum(weight).alias("total_"), F.sum(F.when(F.col(weight) > 0, 0.5).otherwise(0.0)).alias("half_")
+    )
     near = lambda count: F.floor(F.col(weight) * count / F.col("total_") + 0.5)
     none = (F.col(weight) <= 0) | (F.col(seats) <= 0)
-    bounded = bounded.withColumns({
-        "low_": F.when(none, 0).otherwise(
-            F.greatest(F.lit(0), near(F.col(seats) - F.col("half_")) - 1)
-        ).cast("long"),
-        "high_": F.when(none, 0).otherwise(near(F.col(seats) + F.col("half_")) + 1).cast("long"),
-    })
-    spare = F.col(seats) - F.sum("low_").over(group)
-    bounded = bounded.withColumn("spare_", spare)
-    ranked = (
-        bounded.filter(F.col("high_") > F.col("low_"))
-        .select(
-            *groups, key, weight, "spare_",
-            F.explode(F.sequence(F.col("low_") + 1, F.col("high_"))).alias("seat_"),
-        )
-        .withColumn("quotient_", F.col(weight) / (2 * F.col("seat_") - 1))
+    bounded = keep(
+        parties.join(sums, groups).withColumns({
+            "low_": F.when(none, 0).otherwise(
+                F.greatest(F.lit(0), near(F.col(seats) - F.col("half_")) - 1)
+            ).cast("long"),
+            "high_": F.when(none, 0).otherwise(near(F.col(seats) + F.col("half_")) + 1).cast("long"),
+        }).drop("total_", "half_"),
+        "bounded",
     )
-    place = F.row_number().over(Window.partitionBy(*groups).orderBy(F.desc("quotient_"), key, "seat_"))
-    won = (
-        ranked.withColumn("place_", place)
-        .filter(F.col("place_") <= F.col("spare_"))
-        .groupBy(*groups, key)
-        .agg(F.count(F.lit(1)).alias("won_"))
+    spare = bounded.groupBy(*groups).agg((F.max(seats) - F.sum("low_")).alias("spare_"))
+    ranked = bounded.filter(F.col("high_") > F.col("low_")).select(
+        *groups, key, F.explode(F.sequence(F.col("low_") + 1, F.col("high_"))).alias("seat_"), F.col(weight).alias("w_")
+    ).withColumn("quotient_", F.col("w_") / (2 * F.col("seat_") - 1)).drop("w_")
+    cuts = ranked.groupBy(*groups).agg(
+        F.percentile_approx("quotient_", [i / PARTS for i in range(1, PARTS)], 10_000).alias("cuts_")
+    )
+    parted = keep(
+        ranked.join(cuts.join(spare, groups), groups)
+        .withColumn("part_", F.size(F.filter("cuts_", lambda c: c > F.col("quotient_")))).drop("cuts_"),
+        "quotients",
     )
+    counts = parted.groupBy(*groups, "part_").agg(F.count(F.lit(1)).alias("n_"))
+    higher = Window.partitionBy(*groups).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    placed = parted.join(
+        counts.withColumn("before_", F.coalesce(F.sum("n_").over(higher), F.lit(0))), [*groups, "part_"]
+    )
+    winning = placed.filter(F.col("before_") + F.col("n_") <= F.col("spare_")).select(*groups, key)
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(F.desc("quotient_"), key, "seat_"))
+    last = placed.filter((F.col("before_") < F.col("spare_")) & (F.col("before_") + F.col("n_") > F.col("spare_")))
+    last = last.withColumn("place_", place).filter(F.col("before_") + F.col("place_") <= F.col("spare_"))
+    won = winning.unionAll(last.select(*groups, key)).groupBy(*groups, key).agg(F.count(F.lit(1)).alias("won_"))
     return (
         bounded.join(won, [*groups, key], "left")
         .withColumn("quota", F.col("low_") + F.coalesce("won_", F.lit(0)))
-        .drop("total_", "half_", "low_", "high_", "spare_", "won_")
+        .drop("low_", "high_", "won_")
     )
 
 
@@ -112,7 +125,7 @@ def mix(
     takes the shard whole as often as its blocks allow, then the first blocks
     of that order. A document cut by the last block gives its first words.
 
-    Results depend on rows and seed alone. NULL texts have no words; documents
+    Every text is read twice, to count and hash it and to give the rows out. Results depend on rows and seed alone. NULL texts have no words; documents
     without words are never taken. Rows that agree in id and text are
     interchangeable. NULL sources are one source, the last. An empty table
     gives an empty result. Columns named like the added ones are replaced.
