@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,14 +75,6 @@ def _anchors(hashes: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
 
 
-class _Digests(dict):
-    """Hashes of the words of a text, each taken once."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh64_intdigest(word, SEED)
-        return found
-
-
 def units(
     text: str | None, bands: int, rows: int, min_words: int = PIECE
 ) -> list[tuple[int, int, int, int, list[int] | None]]:
@@ -104,7 +97,7 @@ def units(
     # Code points that begin before each byte.
     points = np.concatenate([[0], np.cumsum((codes & 0xC0) != 0x80)])
     digest = xxhash.xxh64_intdigest
-    values = np.fromiter(map(_Digests().__getitem__, words), dtype=np.uint64, count=len(words))
+    values = np.fromiter(map(digest, words, repeat(SEED)), dtype=np.uint64, count=len(words))
     hashes = _shingles(values, SHINGLE)
     found = []
     for at in _anchors(hashes).tolist():
