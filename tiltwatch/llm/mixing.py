@@ -200,7 +200,9 @@ def first_words(text: Column, n: Column) -> Column:
 def take(mixed: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of a mix: each document as often as it was taken whole, and its cut part if any.
 
-    The columns that :func:`mix` added are gone.
+    The columns that :func:`mix` added are gone. Documents without words,
+    NULL texts among them, are never taken; repeated rows are taken each by
+    its own number; other columns are carried along; no rows give none.
     """
     size, taken = F.col("_size"), F.col("_taken")
     whole = F.floor(taken / size).cast("int")
