@@ -398,6 +398,15 @@ def classifier_support(spark: SparkSession, folder: str) -> DataFrame:
     return _label_quality(spark, folder).select("label", (F.col("tp") + F.col("fn")).alias("documents"))
 
 
+def classifier_beats_chance(spark: SparkSession, folder: str) -> DataFrame:
+    """Per label, whether the trained classifier's F1 on held-out documents is above that of giving the label to all."""
+    _, validation = hash_split(D.comment_labels(star.comments(spark, folder)), "doc_id")
+    documents = validation.agg(F.count("*").alias("n")).select("n").scalar()
+    carried = F.col("tp") + F.col("fn")
+    given_to_all = F.try_divide(2 * carried, carried + documents)
+    return _label_quality(spark, folder).select("label", (F.col("f1") > given_to_all).alias("beats_chance"))
+
+
 def sentence_vector_norms(spark: SparkSession, folder: str) -> DataFrame:
     """Width and length of every document's sentence vector."""
     vectors = sentence_vectors(spark, folder)
@@ -453,6 +462,7 @@ def all_queries() -> dict[str, Query]:
         "classifier_quality": classifier_quality,
         "classifier_label_quality": _label_quality,
         "classifier_support": classifier_support,
+        "classifier_beats_chance": classifier_beats_chance,
         "sentence_vector_norms": sentence_vector_norms,
         "learned_vector_shapes": learned_vector_shapes,
         # Sources, sinks, streams and layout

