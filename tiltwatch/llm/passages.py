@@ -26,12 +26,12 @@ CHUNK, CHUNK_SIZE = 256, 1 << 18
 #: Columns of the shingle table that are multiplied at a time.
 WIDTH = 4096
 #: Hash slots that tell which rows a join may need.
-SLOTS = 1 << 20
+SLOTS = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tune_bands(
-    threshold: float = THRESHOLD, recall: float = 0.98, most: int = 128, chance: float = 0.4, weight: float = 15.0
+    threshold: float = THRESHOLD, recall: float = 0.98, most: int = 128, chance: float = 0.4, weight: float = 9.0
 ) -> tuple[int, int]:
     """``(bands, rows)`` of least cost that find a pair at ``threshold`` with probability ``recall``.
 
@@ -207,7 +207,7 @@ def _similar_lines(lines: DataFrame, text_of: DataFrame, threshold: float) -> Da
         "bands",
     )
     members = keep(
-        banded.join(full, "band").select(
+        _thinned(banded, "band", full).join(full, "band").select(
             "band", "unit", "chunks", F.pmod(F.xxhash64("unit"), "chunks").cast("int").alias("chunk")
         ),
         "band-members",
