@@ -784,8 +784,9 @@ def test_recall_at_default_settings(spark):
 def test_bands_weigh_chance_against_rows():
     for recall in (0.95, 0.98, 0.999):
         b, r = passages.tune_bands(recall=recall)
-        assert 1 - (1 - 0.8**r) ** b >= recall and r >= 3 and b * r <= 128
-    assert passages.tune_bands(weight=0.0) == (4, 2)
+        assert 1 - (1 - 0.8**r) ** b >= recall and b * r <= 128
+    assert passages.tune_bands(weight=0.0) == (4, 2) and passages.tune_bands() == (6, 3)
+    assert passages.tune_bands(weight=200.0)[1] > 6
 
 
 def test_templated_lines_are_told_apart_quickly(spark):
