@@ -6,12 +6,13 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from tiltwatch.config import LABELS, Settings, work_folder
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
-from tiltwatch.models.classifier import fit_report, text_classifier, with_thresholds
+from tiltwatch.models.classifier import LEAST_TASKS, fit_report, text_classifier, with_thresholds
 from tiltwatch.models import tracking
 from tiltwatch.models.text import learned_encoder, least_count, sentence_encoder
 from tiltwatch.models.tracking import ARCHIVED, Run, load_model, move_stage, register_model, registered_models
@@ -284,3 +285,19 @@ def test_quality_on_labelled_documents(spark):
     assert toxic["precision"] > 0.85 and toxic["recall"] > 0.6
     quality = scores.filter("label = 'low_quality'").first()
     assert quality["precision"] > 0.7 and quality["recall"] > 0.5
+
+
+def test_solver_tasks_do_not_grow_with_the_partitions(spark, training, monkeypatch):
+    seen = []
+    fit = LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    settings = {"spark.sql.shuffle.partitions": "90", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        text_classifier(("toxic", "threat"), dimensions=1 << 8, max_iter=2).fit(training)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(seen) == 2 and max(seen) <= max(LEAST_TASKS, 2 * spark.sparkContext.defaultParallelism) < 90

@@ -24,6 +24,9 @@ from tiltwatch.models.text import (
     token_stage,
 )
 
+#: A pass of the solver has two tasks per core, or so many at least.
+LEAST_TASKS = 24
+
 
 def _probability(label: str) -> str:
     return f"probability_{label}"
@@ -99,7 +102,9 @@ class MultiLabelClassifier(Estimator):
 
     The features are materialised once, in partitions evened out by size since
     every iteration passes over them; the labels are then fitted side by side.
-    Every fit is a distributed gradient sum over a vector of fixed width. It
+    Every fit is a distributed gradient sum over a vector of fixed width. Each
+    task of a pass sends such a vector, so the partitions are read by a number of tasks that
+    follows the cluster and not the input: what a pass moves does not grow with the rows. It
     ends after ``max_iter`` passes, or sooner where the loss changes by less
     than ``tolerance``; :func:`fit_report` tells which.
     """
@@ -134,6 +139,8 @@ class MultiLabelClassifier(Estimator):
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         needed = dataset.select(self.features_col, self.label_col)
         shared = needed.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+        spark = dataset.sparkSession
+        tasks = max(LEAST_TASKS, 2 * spark.sparkContext.defaultParallelism)
 
         def fit_label(label: str):
             learner = LogisticRegression(
@@ -150,9 +157,8 @@ class MultiLabelClassifier(Estimator):
             )
             has_label = F.coalesce(F.array_contains(self.label_col, label), F.lit(False))
             target = has_label.cast("double").alias("target")
-            return learner.fit(shared.select(self.features_col, target))
+            return learner.fit(shared.select(self.features_col, target).coalesce(tasks))
 
-        spark = dataset.sparkSession
         pool = ThreadPool(min(self.parallelism, len(self.label_names)))
         try:
             fitted = pool.map(inheritable_thread_target(spark)(fit_label), self.label_names)
