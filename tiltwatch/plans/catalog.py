@@ -23,7 +23,7 @@ from tiltwatch.plans.gold import GoldStates
 from tiltwatch.functions.split import hash_split
 from tiltwatch.sources import star
 from tiltwatch.sources.csv import load_csv, write_csv
-from tiltwatch.sources.layout import compact_files
+from tiltwatch.sources.layout import ROW_GROUP_BYTES, SORT_BYTES, compact_files, fold_session, folder_bytes, scan_session
 from tiltwatch.sources.split_csv import load_all, load_split_csv
 from tiltwatch.sources.tables import append_evolving, ensure_database, save_gold, save_table
 from tiltwatch.streaming.batches import BatchTarget, score_into_batches
@@ -32,11 +32,16 @@ from tiltwatch.streaming.scoring import StreamTarget, score, score_stream, score
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _folding(spark: SparkSession, folder: str) -> star.GameTables:
+    """The tables for folds and joins by match and seat, whose tasks stay small however many seats there are."""
+    return star.GameTables(fold_session(spark, folder_bytes(spark, f"{folder}/lineitem.parquet")), folder)
+
+
 def _on_tables(function, *args) -> Query:
     """A report on ``(chat, players, matches, cluster_regions)``."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        t = star.GameTables(spark, folder)
+        t = _folding(spark, folder)
         return function(t.chat, t.players, t.matches, t.cluster_regions, *args)
 
     return query
@@ -44,7 +49,7 @@ def _on_tables(function, *args) -> Query:
 
 def _on_players(function) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        t = star.GameTables(spark, folder)
+        t = _folding(spark, folder)
         return function(t.chat, t.players)
 
     return query
@@ -58,6 +63,10 @@ def _on_game(function) -> Query:
     return lambda spark, folder: function(star.GameTables(spark, folder))
 
 
+def _on_seats(function) -> Query:
+    return lambda spark, folder: function(_folding(spark, folder))
+
+
 def _on_training(function, *args) -> Query:
     return lambda spark, folder: function(star.training(spark, folder), *args)
 
@@ -508,15 +517,15 @@ def all_queries() -> dict[str, Query]:
         "match_join_pairs": _on_game(E.match_join_pairs),
         "players_with_match": _on_game(E.players_with_match),
         "match_with_region": _on_game(E.match_with_region),
-        "authored_messages": _on_game(E.authored_messages),
-        "four_table_join": _on_game(E.four_table_join),
+        "authored_messages": _on_seats(E.authored_messages),
+        "four_table_join": _on_seats(E.four_table_join),
         # Aggregates
         "group_by_column": _on_game(E.group_by_column),
         "group_by_expression": _on_game(E.group_by_expression),
         "global_aggregate": _on_game(E.global_aggregate),
         "count_variants": _on_game(E.count_variants),
         "count_distinct": _on_game(E.count_distinct),
-        "seat_message_counts": _on_game(E.seat_message_counts),
+        "seat_message_counts": _on_seats(E.seat_message_counts),
         "toxic_in_ranges": toxic_in_ranges,
         # Sorting, limits, set operations
         "sort_by_count": _on_game(E.sort_by_count),

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from tiltwatch.config import work_folder
 
 FILE_BYTES = 128 * 1024 * 1024
+#: Row groups of compacted files: scans cut a file at them, so one task need not take a whole file.
+ROW_GROUP_BYTES = 16 * 1024 * 1024
+#: Stored bytes that one task sorts at most, and so writes as a file; sorted rows in memory take many times that.
+SORT_BYTES = 32 * 1024 * 1024
 #: A task that packs files takes about so many pieces, so that uneven files still make even tasks.
 PIECES = 4
 #: Small files that a task opens one after the other without much delay.
@@ -19,20 +23,43 @@ MANY = 32
 BITS = 8
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` to set otherwise. The catalog is shared; the settings of ``spark`` stay as they are."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
 def scan_session(spark: SparkSession, split_bytes: int) -> SparkSession:
     """A session like ``spark`` whose file scans have splits of ``split_bytes``, whatever the cluster's size.
 
     Small files are packed into a split up to that size, large ones are cut.
     The catalog is shared; the settings of ``spark`` stay as they are.
     """
-    own = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            own.conf.set(key, value)
+    own = own_session(spark)
     own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     own.conf.set("spark.sql.files.openCostInBytes", "0")
     own.conf.set("spark.sql.files.minPartitionNum", "1")
-    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
+
+
+def fold_session(spark: SparkSession, stored_bytes: int) -> SparkSession:
+    """A session like ``spark`` for joins and folds by keys that nearly every row has for itself.
+
+    A task holds the keys of what it reads in memory, many times their stored size. So
+    splits and shuffle partitions end at ``SORT_BYTES`` and half of that, unless they are set lower, and the number
+    of shuffle partitions goes with ``stored_bytes``, the size of the rows.
+    """
+    own = own_session(spark)
+    for key, most in (("files.maxPartitionBytes", SORT_BYTES), ("adaptive.advisoryPartitionSizeInBytes", SORT_BYTES // 2)):
+        given = spark._jsparkSession.sessionState().conf().getConfString(f"spark.sql.{key}")
+        if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given) > most:
+            own.conf.set(f"spark.sql.{key}", str(most))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * stored_bytes // SORT_BYTES)
+    own.conf.set("spark.sql.shuffle.partitions", str(tasks))
     return own
 
 
@@ -173,7 +200,12 @@ def _write_packed(
 def _clustered(
     spark: SparkSession, rows: DataFrame, folder: str, columns: Sequence[str], file_bytes: int, by_curve: bool
 ) -> DataFrame:
-    return clustered(rows, columns, max(1, -(-folder_bytes(spark, folder) // file_bytes)), by_curve)
+    """Rows clustered in files of ``file_bytes``, or ``SORT_BYTES`` if that is less: one task sorts a file."""
+    return clustered(rows, columns, max(1, -(-folder_bytes(spark, folder) // min(file_bytes, SORT_BYTES))), by_curve)
+
+
+def _grouped(rows: DataFrame) -> DataFrameWriter:
+    return rows.write.option("parquet.block.size", ROW_GROUP_BYTES)
 
 
 def compact_parts(spark: SparkSession, folders: Sequence[str], target: str, file_bytes: int = FILE_BYTES) -> None:
