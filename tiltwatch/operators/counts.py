@@ -44,6 +44,10 @@ def grouped_counts(
     return df.agg(rows.alias("counts")).select(F.inline("counts"))
 
 
+#: Conditions that one 64-bit mask holds.
+_MASK_BITS = 63
+
+
 def labelled_distinct_counts(
     df: DataFrame,
     key: str,
@@ -54,20 +58,25 @@ def labelled_distinct_counts(
 ) -> DataFrame:
     """Per condition, the number of distinct ``key`` values with a row meeting it.
 
-    Rows first fold to one row per key with a flag per condition (partially
-    before the shuffle, so a hot key costs one row per task); the flags are then
-    counted. ``percent`` adds the rounded share of all distinct keys.
+    Rows first fold to one row per key with a bit per condition (partially
+    before the shuffle, so a hot key costs one row per task); the bits are then
+    counted. Bits of one number take a fraction of the memory of as many flags, which
+    counts where nearly every row has a key of its own. ``percent`` adds the rounded share of all distinct keys.
     """
-    flags = {label: f"flag_{i}" for i, label in enumerate(conditions)}
+    places = {label: (f"mask_{i // _MASK_BITS}", F.lit(1 << i % _MASK_BITS).cast("long")) for i, label in enumerate(conditions)}
+    masks: dict[str, Column] = {}
+    for label, (mask, bit) in places.items():
+        met = F.when(conditions[label], bit).otherwise(F.lit(0).cast("long"))
+        masks[mask] = masks[mask].bitwiseOR(met) if mask in masks else met
     per_key = (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(*[F.bool_or(conditions[label]).alias(flag) for label, flag in flags.items()])
+        .agg(*[F.bit_or(value).alias(mask) for mask, value in masks.items()])
     )
     rows = F.array(
         *[
-            F.struct(F.lit(label).alias(name), F.count_if(F.col(flag)).alias(count))
-            for label, flag in flags.items()
+            F.struct(F.lit(label).alias(name), F.count_if(F.col(mask).bitwiseAND(bit) != 0).alias(count))
+            for label, (mask, bit) in places.items()
         ]
     )
     totals = per_key.agg(F.count("*").alias("total"), rows.alias("counts"))

@@ -292,7 +292,8 @@ def _compacted(cluster_by: tuple[str, ...], by_curve: bool = False) -> Query:
         loose, tight = work_folder(spark, "loose"), work_folder(spark, "tight")
         chat.repartition(LOOSE_FILES).write.parquet(loose)
         compact_files(spark, loose, tight, cluster_by, by_curve=by_curve)
-        return R.match_share_per_label(spark.read.parquet(tight))
+        # Nearly every row of a split may be a match for itself, so a task takes a row group or two.
+        return R.match_share_per_label(scan_session(spark, ROW_GROUP_BYTES).read.parquet(tight))
 
     return query
 

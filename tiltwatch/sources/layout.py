@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tiltwatch.config import work_folder
@@ -37,7 +37,6 @@ def scan_session(spark: SparkSession, split_bytes: int) -> SparkSession:
     """A session like ``spark`` whose file scans have splits of ``split_bytes``, whatever the cluster's size.
 
     Small files are packed into a split up to that size, large ones are cut.
-    The catalog is shared; the settings of ``spark`` stay as they are.
     """
     own = own_session(spark)
     own.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
@@ -191,7 +190,7 @@ def _write_packed(
         write(_packed(spark, read, folders, files))
         return
     step = work_folder(spark, "packed")
-    _packed(spark, read, folders, tasks).write.parquet(step)
+    _grouped(_packed(spark, read, folders, tasks)).parquet(step)
     _write_packed(spark, lambda own: own.read.parquet(step), [step], file_bytes, write)
     fs, path = _file_system(spark, step)
     fs.delete(path, True)
@@ -215,7 +214,7 @@ def compact_parts(spark: SparkSession, folders: Sequence[str], target: str, file
     """
     _write_packed(
         spark, lambda own: own.read.option("mergeSchema", "true").parquet(*folders), folders, file_bytes,
-        lambda rows: rows.write.mode("overwrite").parquet(target),
+        lambda rows: _grouped(rows).mode("overwrite").parquet(target),
     )
 
 
@@ -230,7 +229,7 @@ def compact_files(
     """Write the Parquet rows of ``folder`` into few files under the new ``target``."""
 
     def write(rows: DataFrame) -> None:
-        rows.write.mode("errorifexists").parquet(target)
+        _grouped(rows).mode("errorifexists").parquet(target)
 
     if cluster_by:
         write(_clustered(spark, spark.read.parquet(folder), folder, cluster_by, file_bytes, by_curve))
@@ -261,7 +260,7 @@ def compact_table(
     fresh, previous = f"{table}_new_{mark}", f"{table}_old_{mark}"
 
     def write(rows: DataFrame) -> None:
-        rows.write.format("parquet").mode("errorifexists").saveAsTable(fresh)
+        _grouped(rows).format("parquet").mode("errorifexists").saveAsTable(fresh)
 
     if cluster_by:
         write(_clustered(spark, spark.table(table), folder, cluster_by, file_bytes, by_curve))
