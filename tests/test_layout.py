@@ -173,3 +173,38 @@ def test_split_csv_refuses_what_it_cannot_tell(spark, tmp_path):
         load_split_csv(spark, str(tmp_path / "b")).collect()
     (tmp_path / "c.csv").write_text("id,t\n")
     assert load_split_csv(spark, str(tmp_path / "c.csv")).collect() == []
+
+
+def test_split_csv_files_of_a_few_blocks_use_all_cores(spark, tmp_path):
+    spark.range(600_000).select("id", F.lit("x" * 50).alias("t")).coalesce(4).write.option("header", True).csv(str(tmp_path / "in"))
+    found = load_split_csv(spark, str(tmp_path / "in"))  # 34 MB: one block of the usual size
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+    assert found.agg(F.count("*"), F.sum(F.col("id").cast("long"))).first() == (600_000, 179_999_700_000)
+
+
+# --- Memory of a task ------------------------------------------------------------------------
+
+
+def test_compacted_files_are_cut_by_scans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "ROW_GROUP_BYTES", 1 << 20)
+    spark.range(1_500_000).select(F.rand(1).alias("x")).repartition(4).write.parquet(str(tmp_path / "in"))
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert [pq.ParquetFile(f).metadata.num_row_groups >= 8 for f in files(tmp_path / "out")] == [True]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1_500_000
+
+
+def test_what_one_task_sorts_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "SORT_BYTES", 1 << 18)
+    spark.range(200_000).select("id", F.rand(1).alias("x")).repartition(8).write.parquet(str(tmp_path / "in"))
+    bound = -(-layout.folder_bytes(spark, str(tmp_path / "in")) // (1 << 18))
+    layout.compact_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), ["x"])
+    assert len(files(tmp_path / "out")) == bound > 4
+    assert spark.read.parquet(str(tmp_path / "out")).agg(F.count("*"), F.sum("id")).first() == (200_000, 19_999_900_000)
+
+
+def test_folds_have_small_splits_and_more_partitions(spark):
+    own = layout.fold_session(spark, 64 * layout.SORT_BYTES)
+    assert int(own.conf.get("spark.sql.shuffle.partitions")) == 256 and spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert own.conf.get("spark.sql.files.maxPartitionBytes") == str(layout.SORT_BYTES)
+    assert own.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(layout.SORT_BYTES // 2)
+    assert layout.fold_session(spark, 1).conf.get("spark.sql.shuffle.partitions") == "8"
