@@ -263,9 +263,11 @@ def incremental_match_share(spark: SparkSession, folder: str) -> DataFrame:
     source = f"{_work_database(spark)}.chat"
     target = BatchTarget(work_folder(spark, "batches"), work_folder(spark, "checkpoint"))
     states = GoldStates(work_folder(spark, "states"))
+    # Two batches each time, the first with two thirds of the files, of which there are more the larger the table.
+    files = 3 * max(1, -(-folder_bytes(spark, f"{folder}/lineitem.parquet") // (3 * SORT_BYTES)))
     for early in (True, False):
-        append_evolving(spark, chat.filter((F.col("time") < 600) == F.lit(early)).repartition(3), source)
-        new = spark.readStream.option("maxFilesPerTrigger", 2).table(source)
+        append_evolving(spark, chat.filter((F.col("time") < 600) == F.lit(early)).repartition(files), source)
+        new = spark.readStream.option("maxFilesPerTrigger", files * 2 // 3).table(source)
         stream = new.writeStream.foreachBatch(target.write_batch).trigger(availableNow=True)
         wait(stream.option("checkpointLocation", target.checkpoint).start())
         states.update(spark, target)
