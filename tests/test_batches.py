@@ -171,3 +171,16 @@ def test_gold_after_increments_equals_a_rebuild(spark, database):
     states.clean(spark)
     assert [len(states.of(k).complete(spark)) for k in ("counts", "sizes", "seats", "matches")] == [1] * 4
     assert rows(states.label_count_histogram(spark)) == rows(R.label_count_histogram(to.read(spark)))
+
+
+def test_streamed_files_go_with_the_table(spark, monkeypatch):
+    from tiltwatch.plans import catalog
+
+    parts = []
+    append = catalog.append_evolving
+    monkeypatch.setattr(catalog, "append_evolving", lambda s, df, t: parts.append(df.rdd.getNumPartitions()) or append(s, df, t))
+    folder = "/root/testdata/sf0.001"
+    want = sorted(map(tuple, catalog.all_queries()["match_share_per_label"](spark, folder).collect()))
+    monkeypatch.setattr(catalog, "SORT_BYTES", -(-catalog.folder_bytes(spark, f"{folder}/lineitem.parquet") // 6))
+    assert sorted(map(tuple, catalog.incremental_match_share(spark, folder).collect())) == want
+    assert parts == [6, 6]

@@ -238,3 +238,11 @@ def test_hash_split_keeps_rows_without_key(spark):
     parts = hash_split(df, "k", (1, 1, 1))
     assert sorted(r["v"] for p in parts for r in p.collect()) == [1, 2, 3, 4]
     assert df.filter(split_part("k", ("x", "y")).isNull()).count() == 0
+
+
+def test_more_conditions_than_bits_of_a_mask(spark):
+    rows = spark.range(700).select((F.col("id") / 7).cast("int").alias("k"), (F.col("id") % 70).alias("x"))
+    found = labelled_distinct_counts(rows, "k", {str(i): F.col("x") == i for i in range(70)} | {"none": F.lit(None).cast("boolean")}, "name", "n")
+    assert {r["name"]: r["n"] for r in found.collect()} == {str(i): 10 for i in range(70)} | {"none": 0}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "bool_or" not in plan and "bit_or" in plan
