@@ -13,7 +13,7 @@ from tiltwatch.config import LABELS, Settings, work_folder
 from tiltwatch.functions.labels import prepare_labels
 from tiltwatch.functions.split import hash_split
 from tiltwatch.models.classifier import LEAST_TASKS, fit_report, text_classifier, with_thresholds
-from tiltwatch.models import tracking
+from tiltwatch.models import tracking, word_vectors
 from tiltwatch.models.text import learned_encoder, least_count, sentence_encoder
 from tiltwatch.models.tracking import ARCHIVED, Run, load_model, move_stage, register_model, registered_models
 from tiltwatch.operators.metrics import label_scores
@@ -270,6 +270,64 @@ def test_learned_vectors(spark):
     assert all(not r["universal_embeddings"].toArray().any() for r in encoder.transform(odd).collect())
 
 
+def test_learned_vectors_do_not_depend_on_parts_or_order(spark):
+    documents = star.read(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    found = []
+    for docs in (documents.coalesce(1), documents.repartition(7).orderBy(F.desc("doc_id"))):
+        words = learned_encoder(docs, "text", dimensions=16, max_words=500).stages[-1].getVectors()
+        found.append({r["word"]: tuple(r["vector"]) for r in words.collect()})
+    assert len(found[0]) > 100 and found[0] == found[1]
+
+
+def test_neighbours_are_counted_as_by_hand(spark):
+    rng = random.Random(4)
+    texts = [[rng.choice("abcdexyz") for _ in range(n)] for n in (0, 1, 2, 3, 40, 9, 200, 1)] + [["a"] * 30, ["x"] * 5]
+    words, window = list("edcba"), 3
+    expected = {}
+    for text in texts:
+        known = [words.index(w) for w in text if w in words]
+        for i, x in enumerate(known):
+            for d in range(1, min(window, len(known) - 1 - i) + 1):
+                pair = tuple(sorted((x, known[i + d])))
+                expected[pair] = expected.get(pair, 0) + window - d + 1
+    tokens = spark.createDataFrame([(t,) for t in texts], "token array<string>").coalesce(1)
+    for step in (7, 1 << 20):
+        counts = word_vectors.neighbour_counts(tokens, words, window, step)
+        rows = counts.collect()
+        assert {(r["a"], r["b"]): r["n"] for r in rows} == expected and len(rows) == len(expected)
+    full = np.zeros((len(words), len(words)))
+    for (a, b), n in expected.items():
+        full[a, b] += n
+        full[b, a] += n
+    unpacked = np.zeros_like(full)
+    lists = word_vectors.neighbour_rows(counts).cache()
+    for r in lists.collect():
+        for x in r["x"]:
+            unpacked[r["a"], x >> word_vectors.SHIFT] += x % (1 << word_vectors.SHIFT)
+    assert (unpacked == full).all()
+    smooth = full.sum(axis=0) ** word_vectors.SMOOTHING
+    information = np.log(np.maximum(full, 1e-300) / np.outer(full.sum(axis=1), smooth / smooth.sum())).clip(min=0)
+    right = np.random.default_rng(1).standard_normal((len(words), 2))
+    assert np.allclose(word_vectors.times(lists, full.sum(axis=1), right), information @ right, atol=1e-4)
+
+
+def test_learned_vectors_of_odd_tables(spark):
+    schema = "doc_id int, text string"
+    for texts in ([None, "", "!"], ["once only"]):
+        with pytest.raises(ValueError, match="no word"):
+            learned_encoder(spark.createDataFrame(list(enumerate(texts)), schema), "text")
+    # Fewer words than dimensions; "alone" has no neighbour.
+    docs = spark.createDataFrame([*enumerate(["red blue green"] * 5 + ["alone"] * 5), (None, None)], schema)
+    encoder = learned_encoder(docs, "text", dimensions=8)
+    path = work_folder(spark, "encoder")
+    encoder.write().save(path)
+    for model in (encoder, PipelineModel.load(path)):
+        vectors = {r["text"]: r["universal_embeddings"].toArray() for r in model.transform(docs).collect()}
+        assert all(v.shape == (8,) and np.isfinite(v).all() for v in vectors.values())
+        assert vectors["red blue green"].any() and not vectors["alone"].any() and not vectors[None].any()
+        assert model.stages[-1].findSynonyms("red", 2).count() == 2
+
+
 def test_least_count_bounds_the_vocabulary(spark):
     tokens = spark.createDataFrame([(["a"] * 5 + ["b"] * 3 + ["c"] * 3 + ["d"],)], "token array<string>")
     assert [least_count(tokens, n, 1) for n in (1, 2, 3, 4, 9)] == [4, 4, 2, 1, 1]

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer, SQLTransformer, Word2Vec
+from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer, SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiltwatch.llm.common import drop_kept, keep
+from tiltwatch.models.word_vectors import factorized, neighbour_counts, neighbour_rows, word_model
+
 # Runs of letters and digits of any script are tokens.
 TOKEN_GAP = r"[^\p{L}\p{N}]+"
 
@@ -76,13 +79,21 @@ def sentence_encoder(
     )
 
 
+def word_counts(tokens: DataFrame, min_count: int) -> DataFrame:
+    """``(word, count)`` of the words that the column ``token`` has ``min_count`` times at least."""
+    return tokens.select(F.explode("token").alias("word")).groupBy("word").count().filter(F.col("count") >= min_count)
+
+
 def least_count(tokens: DataFrame, max_words: int, min_count: int) -> int:
     """The least count that at most ``max_words`` words of the column ``token`` reach, ``min_count`` at least.
 
     Counts are added up per task before they are shuffled; only the
     ``max_words`` + 1 largest are looked at together.
     """
-    counts = tokens.select(F.explode("token").alias("word")).groupBy("word").count().filter(F.col("count") >= min_count)
+    return _least(word_counts(tokens, min_count), max_words, min_count)
+
+
+def _least(counts: DataFrame, max_words: int, min_count: int) -> int:
     top = counts.orderBy(F.desc("count")).limit(max_words + 1).agg(F.count("*").alias("n"), F.min("count").alias("least")).first()
     return min_count if top["n"] <= max_words else top["least"] + 1
 
@@ -94,8 +105,7 @@ def learned_encoder(
     max_words: int = 20_000,
     min_count: int = 5,
     window: int = 5,
-    passes: int = 1,
-    partitions: int = 8,
+    passes: int = 5,
     seed: int = 0,
 ) -> PipelineModel:
     """Text stages whose ``universal_embeddings`` is the mean of word vectors learned from ``docs``.
@@ -104,14 +114,21 @@ def learned_encoder(
     vocabulary is bounded by ``max_words``: rarer words raise the least count
     until it holds, so the table of vectors, on the driver and in every task,
     has ``max_words`` * ``dimensions`` floats at most. Every text is read
-    whole and adds to the counts and to the training. ``partitions`` parts are trained side by side and
-    averaged after each pass. A text without a word of the vocabulary has
+    whole and adds to the counts of words and to those of neighbours, on all cores. The vectors factorize
+    the neighbours' mutual information, a matrix bounded by the vocabulary, in ``passes`` rounds (``word_vectors``).
+    A text without a word of the vocabulary has
     the zero vector; NULL counts as empty. Without any frequent word there is nothing to learn, an error.
     """
     before = [document_stage(text_col), token_stage()]
     tokens = PipelineModel(before).transform(docs).select("token")
-    learner = Word2Vec(
-        inputCol="token", outputCol="universal_embeddings", vectorSize=dimensions, windowSize=window,
-        minCount=least_count(tokens, max_words, min_count), maxIter=passes, numPartitions=partitions, seed=seed,
-    )
-    return PipelineModel([*before, learner.fit(tokens)])
+    counts = keep(word_counts(tokens, min_count), "word-counts")
+    least = _least(counts, max_words, min_count)
+    words = [r["word"] for r in counts.filter(F.col("count") >= least).orderBy(F.desc("count"), "word").collect()]
+    drop_kept(counts)
+    if not words:
+        raise ValueError(f"no word occurs {least} times")
+    rows = keep(neighbour_rows(neighbour_counts(tokens, words, window)), "neighbours")
+    vectors = factorized(rows, len(words), dimensions, passes, seed)
+    drop_kept(rows)
+    names = dict(inputCol="token", outputCol="universal_embeddings", windowSize=window, seed=seed)
+    return PipelineModel([*before, word_model(tokens, words, vectors, **names)])
